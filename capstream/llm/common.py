@@ -7,6 +7,8 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from capstream.session import share_package
+
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -16,7 +18,7 @@ ASCII_LOWER = ASCII_UPPER.lower()
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables below `sf_dir`, by a path that only Spark needs to open."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return share_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
