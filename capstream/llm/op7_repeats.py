@@ -44,6 +44,7 @@ PART_BYTES, SLICE_BYTES = 8 << 20, 1 << 18
 #: Symbols of a text given to the suffix sorter, of all texts given at once, and of one anchor before it is split.
 TEXT_SYMBOLS, BATCH_SYMBOLS, ANCHOR_SYMBOLS = 2000, 1 << 20, 6000
 NO_ID = 2**63 - 1
+_PLACES, _FEW = np.uint64((1 << 20) - 1), np.uint64((1 << 22) - 1)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +66,9 @@ class Part:
         self.bytes = np.frombuffer(self.whole, np.uint8)
         self.ends = np.cumsum([len(r[2]) for r in rows], dtype=np.int64)
         self.starts = self.ends - np.array([len(r[2]) for r in rows], np.int64)
+        self.inside = np.ones(len(self.bytes), bool)
+        for low, high in zip(np.maximum(self.starts, self.ends - LENGTH + 1).tolist(), self.ends.tolist(), strict=True):
+            self.inside[low:high] = False
         found = [self._anchors(at) for at in range(0, max(0, len(self.bytes) - LENGTH + 1), SLICE_BYTES)]
         #: Hash of the anchor, its place, the first and last start of a string that has it, and the document.
         self.hash, self.place, self.low, self.high, self.doc = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (
@@ -75,51 +79,48 @@ class Part:
         part = self.bytes[at : at + SLICE_BYTES + LENGTH - 1]
         sums = np.zeros(len(part) + 1, np.uint64)
         np.cumsum((part + np.uint64(1)) * self._forth[: len(part)], out=sums[1:])
-        x = (sums[K:] - sums[:-K]) * self._back[: len(part) - K + 1]
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = sums[K:] - sums[:-K]
+        x *= self._back[: len(part) - K + 1]
+        x ^= x >> np.uint64(29)
+        x *= np.uint64(0xBF58476D1CE4E5B9)
         x ^= x >> np.uint64(32)
-        # the first of the least hashes in every window, by windows of twice the size
-        least, where, size, window = x, np.arange(len(x), dtype=np.int32), 1, LENGTH - K + 1
+        # the first of the least hashes in every window: places in the low bits, windows of twice the size
+        least, size, window = x & ~_PLACES | np.arange(len(x), dtype=np.uint64), 1, LENGTH - K + 1
         while size < window:
             step = min(size, window - size)
-            right = least[step:] < least[:-step]
-            least, where = np.where(right, least[step:], least[:-step]), np.where(right, where[step:], where[:-step])
+            least = np.minimum(least[:-step], least[step:])
             size += step
-        start = np.arange(len(where), dtype=np.int64) + at
-        doc = np.searchsorted(self.ends, start, "right")
-        inside = start + LENGTH <= self.ends[doc]
+        where = (least & _PLACES).astype(np.int64)
+        inside = self.inside[at : at + len(where)]
         new = np.ones(len(where), bool)
-        new[1:] = (where[1:] != where[:-1]) | (doc[1:] != doc[:-1]) | ~inside[:-1]
-        new &= inside
+        np.not_equal(where[1:], where[:-1], out=new[1:])
+        new[1:] |= ~inside[:-1]  # strings that end in another document stand between any two
         last = np.ones(len(where), bool)
         last[:-1] = new[1:] | ~inside[1:]
-        last &= inside
-        first = np.flatnonzero(new)
-        return x[where[first]], where[first].astype(np.int64) + at, start[first], start[np.flatnonzero(last)], doc[first]
+        first = np.flatnonzero(new & inside)
+        return x[where[first]], where[first] + at, first + at, np.flatnonzero(last & inside) + at, np.searchsorted(self.ends, first + at, "right")
 
     def bucketed(self, buckets: int) -> np.ndarray:
         """Bucket of every anchor, above 32 bits of its hash."""
         return (((self.hash >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32)) | (self.hash & np.uint64(0xFFFFFFFF))
 
-    def contexts(self, codes: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[list]]:
-        """Occurrences (places in the anchors) that share their code, the context of each, and the contexts: [bucket, place of the anchor, text, least document]."""
-        at = np.searchsorted(shared, codes)
-        hit = np.flatnonzero((at < len(shared)) & (shared[np.minimum(at, max(0, len(shared) - 1))] == codes)) if len(shared) else np.empty(0, np.int64)
-        known: dict[tuple[int, bytes], int] = {}
-        found: list[list] = []
-        which = np.empty(len(hit), np.int64)
-        values = zip(
-            (codes[hit] >> np.uint64(32)).tolist(), (self.place[hit] - self.low[hit]).tolist(), self.low[hit].tolist(), (self.high[hit] + LENGTH).tolist(), self.order[self.doc[hit]].tolist(),
-            strict=True,
-        )
-        for n, (bucket, rel, low, high, doc) in enumerate(values):
-            key = (rel, self.whole[low:high])
-            k = known.get(key)
-            if k is None:
-                known[key] = k = len(found)
-                found.append([bucket, rel, key[1], doc])
-            which[n] = k  # documents come in order, so the first is the least
-        return hit, which, found
+    def contexts(self, codes: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Occurrences (places in the anchors) that share their code, the context of each, the contexts, and the first occurrence of each.
+
+        A context's text tells its anchor: the one that its first string has.
+        """
+        some = np.zeros(1 << 22, bool)
+        some[shared & _FEW] = True
+        hit = np.flatnonzero(some[codes & _FEW])
+        at = np.searchsorted(shared, codes[hit])
+        hit = hit[shared[np.minimum(at, max(0, len(shared) - 1))] == codes[hit]] if len(shared) else hit[:0]
+        whole = self.whole
+        texts = [whole[a:b] for a, b in zip(self.low[hit].tolist(), (self.high[hit] + LENGTH).tolist(), strict=True)]
+        number = {text: k for k, text in enumerate(dict.fromkeys(texts))}
+        which = np.fromiter(map(number.__getitem__, texts), np.int64, len(texts))
+        first = np.full(len(number), len(hit))
+        first[which[::-1]] = np.arange(len(hit))[::-1]
+        return hit, which, list(number), first
 
 
 def _blob(value) -> bytes:
@@ -194,12 +195,20 @@ def _send_contexts(docs: pa.Table, info: pa.Table, buckets: int) -> pa.Table:
     if not docs.num_rows or not info.num_rows:
         return _rows([], [], [], [])
     part = Part(docs)
-    _, _, found = part.contexts(part.bucketed(buckets), _codes(info))
-    by_bucket = defaultdict(list)
-    for bucket, rel, text, doc in found:
-        by_bucket[bucket].append((rel, text, doc))
+    codes = part.bucketed(buckets)
+    hit, _, texts, first = part.contexts(codes, _codes(info))
+    own = hit[first]
+    bucket, rel, doc = (codes[own] >> np.uint64(32)).astype(np.int64), part.place[own] - part.low[own], part.order[part.doc[own]]
+    order = np.argsort(bucket, kind="stable")
+    edges = np.flatnonzero(np.diff(bucket[order])) + 1
+    numbers, out = [], []
+    for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(order)], strict=True):
+        if a < b:
+            some = order[a:b]
+            numbers.append(int(bucket[some[0]]))
+            out.append(_blob((rel[some], doc[some], [texts[k] for k in some.tolist()])))
     number = docs.column("part")[0].as_py()
-    return _rows(list(by_bucket), [number] * len(by_bucket), [1] * len(by_bucket), [_blob(v) for v in by_bucket.values()])
+    return _rows(numbers, [number] * len(out), [1] * len(out), out)
 
 
 class Comparer:
@@ -277,27 +286,35 @@ class Comparer:
                     target[first : first + n] = result[at : at + n]
 
 
+def _stretches(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places of stretches given by start and size, one after another."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
 def _compare(sent: pa.Table) -> pa.Table:
     """For every part's contexts of this bucket, in the order sent: the least document of each string."""
     bucket = sent.column("bucket")[0].as_py()
     parts = sent.column("part").to_pylist()
     values = [_value(d) for d in sent.column("data").to_pylist()]
-    anchors: dict[bytes, dict[tuple[int, bytes], list]] = defaultdict(dict)
-    answers = []
-    for contexts in values:
-        sizes = [len(text) - LENGTH + 1 for _, text, _ in contexts]
-        own = np.empty(sum(sizes), np.int64)
-        at = 0
-        for (rel, text, doc), n in zip(contexts, sizes, strict=True):
-            same = anchors[text[rel : rel + K]].setdefault((rel, text), [rel, text, doc, []])
-            same[2] = min(same[2], doc)
-            same[3].append((own, at))
-            at += n
-        answers.append(own)
-    comparer = Comparer()
-    for contexts in anchors.values():
-        comparer.add(list(contexts.values()))
+    number: dict[bytes, int] = {}
+    which = [np.array([number.setdefault(text, len(number)) for text in texts], np.int64) for _, _, texts in values]
+    rel, least = np.zeros(len(number), np.int64), np.full(len(number), NO_ID)
+    for own, (r, doc, _) in zip(which, values, strict=True):
+        rel[own] = r
+        np.minimum.at(least, own, doc)
+    del values
+    sizes = np.array([len(text) - LENGTH + 1 for text in number], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    result = np.repeat(least, sizes)  # right where an anchor has one context
+    anchors: dict[bytes, list[int]] = {}
+    for k, (text, r) in enumerate(zip(number, rel.tolist(), strict=True)):
+        anchors.setdefault(text[r : r + K], []).append(k)
+    texts, comparer = list(number), Comparer()
+    for same in anchors.values():
+        if len(same) > 1:
+            comparer.add([(int(rel[k]), texts[k], int(least[k]), [(result, int(begins[k]))]) for k in same])
     comparer.flush()
+    answers = [result[_stretches(begins[own], sizes[own])] for own in which]
     return _rows([bucket] * len(parts), parts, [1] * len(parts), [_blob(a) for a in answers])
 
 
@@ -310,28 +327,22 @@ def _keep(docs: pa.Table, info: pa.Table, buckets: int, schema: pa.Schema) -> pa
     if not docs.num_rows:
         return schema.empty_table()
     part = Part(docs)
-    hit, which, found = part.contexts(part.bucketed(buckets), _codes(info))
-    change = np.zeros(len(part.bytes) + 1, np.int32)
-    if len(found):
+    codes = part.bucketed(buckets)
+    hit, which, texts, first = part.contexts(codes, _codes(info))
+    change = np.zeros(len(part.bytes) + 1, np.int64)
+    if len(texts):
         answers = {b: _value(d) for b, k, d in zip(*(info.column(c).to_pylist() for c in ("bucket", "kind", "data")), strict=True) if k == 1}
-        sizes = np.array([len(f[2]) - LENGTH + 1 for f in found])
-        firsts, used = np.empty(len(found), np.int64), dict.fromkeys(answers, 0)
-        base, total = {}, 0
-        for b, a in answers.items():
-            base[b] = total
-            total += len(a)
-        for k, f in enumerate(found):  # contexts of a bucket were sent in this order
-            firsts[k] = base[f[0]] + used[f[0]]
-            used[f[0]] += int(sizes[k])
-        least = np.concatenate(list(answers.values()))
-        for at in range(0, len(hit), 1 << 16):
-            occurrence, context = hit[at : at + (1 << 16)], which[at : at + (1 << 16)]
-            n = sizes[context]
-            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            gone = least[np.repeat(firsts[context], n) + step] < np.repeat(part.order[part.doc[occurrence]], n)
-            start = (np.repeat(part.low[occurrence], n) + step)[gone]
-            np.add.at(change, start, 1)
-            np.add.at(change, start + LENGTH, -1)
+        sizes = np.array([len(t) - LENGTH + 1 for t in texts])
+        bucket = (codes[hit[first]] >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")  # as they were sent
+        least = np.concatenate([answers[b] for b in sorted(answers)])
+        begins = np.empty(len(texts), np.int64)
+        begins[order] = np.cumsum(sizes[order]) - sizes[order]
+        for at in range(0, len(hit), 1 << 18):
+            occurrence, n = hit[at : at + (1 << 18)], sizes[which[at : at + (1 << 18)]]
+            gone = least[_stretches(begins[which[at : at + (1 << 18)]], n)] < np.repeat(part.order[part.doc[occurrence]], n)
+            start = _stretches(part.low[occurrence], n)[gone]
+            change += np.bincount(start, minlength=len(change)) - np.bincount(start + LENGTH, minlength=len(change))
     covered = np.cumsum(change[:-1]) > 0
     edge = np.flatnonzero(np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
@@ -339,9 +350,9 @@ def _keep(docs: pa.Table, info: pa.Table, buckets: int, schema: pa.Schema) -> pa
     borders = part.starts[1:][(part.starts[1:] > 0) & (part.starts[1:] < len(covered))]
     borders = np.unique(borders[covered[borders] & covered[borders - 1]]) if len(borders) else borders
     starts, ends = np.sort(np.append(starts, borders)), np.sort(np.append(ends, borders))
-    rows = []
-    for k, (a, b) in enumerate(zip(part.starts.tolist(), part.ends.tolist(), strict=True)):
-        low, high = np.searchsorted(starts, a), np.searchsorted(starts, b)
+    rows, lows = [], np.searchsorted(starts, part.starts).tolist()
+    highs = np.searchsorted(starts, part.ends).tolist()
+    for k, (a, b, low, high) in enumerate(zip(part.starts.tolist(), part.ends.tolist(), lows, highs, strict=True)):
         kept = part.bytes[a:b][~covered[a:b]].tobytes() if high > low else part.whole[a:b]
         rows.append((part.ids[k], b - a, (starts[low:high] - a).tolist(), (ends[low:high] - a).tolist(), kept))
     return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
