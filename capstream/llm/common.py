@@ -21,16 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return share_package(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared folder that spark.checkpoint.dir names.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that spark.checkpoint.dir names.
 
     Only where the session names none (tests, a notebook) a temporary folder of the driver is set.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="capstream-"))
+    return context.getCheckpointDir()
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared folder."""
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

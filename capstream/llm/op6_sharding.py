@@ -77,14 +77,18 @@ def shard_rows(rows: DataFrame, identity: list[Column], shards: int = SHARDS, se
     n = rows.count()
     parts = min(MAX_PARTITIONS, max(8, -(-n // PARTITION_ROWS)))
     dealt = rows.select(F.struct(*keep).alias("kept"), F.xxhash64(F.lit(seed), *identity).alias("draw"))
-    dealt = dealt.withColumn("part", F.pmod("draw", F.lit(parts))).withColumn("again", F.xxhash64(F.lit(seed + 1), "draw"))
+    dealt = dealt.withColumn("part", F.pmod("draw", F.lit(parts)))
     counted = dict(dealt.groupBy("part").count().collect())  # at most MAX_PARTITIONS rows
     counts = [counted.get(i, 0) for i in range(parts)]
     matrix = communication_matrix(counts, capacities(n, shards), seed)
     ends = [np.cumsum(row).tolist() for row in matrix]
     deal = spark.range(1).select(F.posexplode(F.from_json(F.lit(json.dumps(ends)), "array<array<long>>")).alias("part", "ends"))
-    order = [F.col("draw"), *[F.col(f"kept.{c}") for c in keep if dict(rows.dtypes)[c] in ("bigint", "int", "string")]]
-    inside = Window.partitionBy("part").orderBy(F.xxhash64(F.lit(seed + 2), "draw"), *order)
+    kinds = dict(rows.dtypes)
+    order = [F.col("draw"), *[F.col(f"kept.{c}") for c in keep if kinds[c] in ("bigint", "int")]]
+    # repeated rows get numbers, so that they are dealt and placed independently
+    numbered = dealt.repartition("part").withColumn("nth", F.row_number().over(Window.partitionBy("part", "draw").orderBy(*order)))
+    dealt = numbered.withColumn("again", F.xxhash64(F.lit(seed + 1), "draw", "nth"))
+    inside = Window.partitionBy("part").orderBy(F.xxhash64(F.lit(seed + 2), "draw", "nth"), *order)
     dealt = dealt.withColumn("here", F.row_number().over(inside)).join(F.broadcast(deal), "part")
     dealt = dealt.withColumn("shard", F.expr("size(filter(ends, e -> e < here))"))
     bits = max(0, (max(1, n // (shards * STRETCH_ROWS)) - 1).bit_length())
