@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from capstream.llm.common import table
 
 FOLDS = 5
-MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
+MAX_POSITIVE, MAX_UNLABELLED = 3000, 6000
 #: Lengths of the beginnings of words that are features besides the whole words.
 PREFIXES = (3, 4, 5, 6)
 MIN_POSITIVE, MAX_FEATURES, MIN_LIFT = 3, 4096, 2.0
@@ -49,7 +49,7 @@ def text_features(text: str | None) -> np.ndarray:
     found: set[int] = set()
     for word in set((text or "").lower().split()):
         found |= word_features(word)
-    return np.fromiter(found, np.int64, len(found))
+    return np.fromiter(found, np.uint32, len(found))
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,7 +91,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
         return Model(float(np.log(prior / (1 - prior))), {})
     ids, df = np.unique(np.concatenate(positive), return_counts=True)
     ids, df = ids[df >= min(MIN_POSITIVE, len(positive))], df[df >= min(MIN_POSITIVE, len(positive))]
-    everything = np.concatenate([*unlabelled, np.empty(0, np.int64)])
+    everything = np.concatenate([*unlabelled, np.empty(0, np.uint32)])
     at = np.searchsorted(ids, everything)
     at = at[(at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == everything)] if len(ids) else at[:0]
     other = np.bincount(at, minlength=len(ids))
@@ -103,7 +103,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     def rows(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Row and column numbers of the ones in the feature matrix."""
         row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        flat = np.concatenate([*sets, np.empty(0, np.int64)])
+        flat = np.concatenate([*sets, np.empty(0, np.uint32)])
         col = np.searchsorted(ids, flat)
         ok = (col < len(ids)) & (ids[np.minimum(col, len(ids) - 1)] == flat) if len(ids) else np.zeros(len(flat), bool)
         return row[ok], col[ok]
@@ -147,8 +147,10 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     ids = docs.select("doc_id").where(~held_out(F.col("doc_id"))).where("doc_id is not null")
     others = ids.orderBy(*order).limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen.unionByName(others)), "doc_id")  # max_positive + max_unlabelled rows
+    sample = sample.groupBy("doc_id", "positive").agg(F.min("text").alias("text"))  # an id counts once, however often it is repeated
     found = sample.select("positive", "text").mapInArrow(_sample_features, "positive boolean, features binary").collect()
-    sets = [(r.positive, np.frombuffer(r.features, np.int64)) for r in found]
+    sets = [(r.positive, np.frombuffer(r.features, np.uint32)) for r in found]
+    del found
     return fit([f for p, f in sets if p], [f for p, f in sets if not p], prior)
 
 
