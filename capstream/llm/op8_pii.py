@@ -13,7 +13,8 @@ generated examples (EXAMPLES of them, fixed seed), by the gradient of its exact
 
 Scale: one pass without a shuffle; the model (a few thousand weights) goes along with the tasks. The
 patterns are run so that no text, however long or odd, costs more than its length, and the CRF sees
-bounded stretches only.
+bounded stretches only. It leaves out runs of digits over MAX_TRIGGER characters, which no entity
+spans, and stretches of some 4000 characters with over MAX_TRIGGERS signs, which are noise.
 
 Null text is an empty one and has no spans. Null doc_id and repeated rows are handled like any
 other. An empty table gives an empty result; other columns are ignored.
@@ -37,6 +38,9 @@ KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS, CONTEXT_TOKENS, EXAMPLES, EPOCHS, RATE, DECAY = 16, 4, 480, 6, 0.3, 1e-4
 #: Stretches of the CRF are cut to so many tokens; an entity has MAX_TOKENS at most.
 STRETCH_TOKENS = 256
+#: A run of digits longer than any number, or a stretch with more signs than addresses could have, is noise:
+#: only the base patterns look at it.
+MAX_TRIGGER, MAX_TRIGGERS = 128, 48
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -272,6 +276,8 @@ def added_spans(text: str, base: list[tuple[int, int, int]], model: SemiMarkov)
     stretches: list[list[int]] = []
     k = 0
     for m in TRIGGER.finditer(text):
+        if m.end() - m.start() > MAX_TRIGGER:
+            continue
         while k < len(taken) and taken[k][1] <= m.start():
             k += 1
         if k < len(taken) and taken[k][0] <= m.start() and m.end() <= taken[k][1]:
@@ -279,10 +285,13 @@ def added_spans(text: str, base: list[tuple[int, int, int]], model: SemiMarkov)
         low, high = max(0, m.start() - 96), min(len(text), m.end() + 96)
         if stretches and low <= stretches[-1][1] and high - stretches[-1][0] < 4096:
             stretches[-1][1] = high
+            stretches[-1][2] += 1
         else:
-            stretches.append([low, high])
+            stretches.append([low, high, 1])
     out: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for low, high in stretches:
+    for low, high, triggers in stretches:
+        if triggers > MAX_TRIGGERS:
+            continue
         part = text[low:high]
         tokens = tokens_of(part)
         for at in range(0, max(1, len(tokens) - 2 * MAX_TOKENS), STRETCH_TOKENS - 2 * MAX_TOKENS):
