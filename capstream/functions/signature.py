@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SIMILAR = 0.018
 
@@ -23,7 +24,7 @@ def similar(a: Column, b: Column, threshold: float = SIMILAR, bits: int | None =
     return a.isNotNull() & (distance(a, b, bits) <= threshold)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def signature_hex(words: pd.Series) -> pd.Series:
     """Eight bytes of BLAKE2s over the packed bits, in hexadecimal (Spark has no BLAKE2)."""
     one = lambda w: None if w is None else hashlib.blake2s(np.asarray(w, dtype=">i8").tobytes(), digest_size=8).hexdigest()

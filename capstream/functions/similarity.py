@@ -7,18 +7,19 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 #: Pairs count as the same caption from these ratios on; short texts need the higher one.
 LONG_RATIO, SHORT_RATIO, LONG_KEY = 0.88, 0.92, 8
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Twice the matching characters over all characters, in the order (previous, current); null where either is."""
     return pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def mean_ratio(key: pd.Series, members: pd.Series) -> pd.Series:
     """Mean ratio of a key with each member of its group, itself included; an empty key has none."""
 

@@ -8,6 +8,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # What these stand for must be the same everywhere for results to agree.
 MEANINGFUL = r"[^A-Za-z0-9\x{3040}-\x{30ff}\x{3400}-\x{9fff}]"
@@ -56,7 +57,7 @@ def meaningful_length(c: Column) -> Column:
     return F.length(F.regexp_replace(_text(c), MEANINGFUL, "")).cast("long")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def unescape_html(s: pd.Series) -> pd.Series:
     """All of HTML5's entities; Arrow batches, for text outside the closed set."""
     return s.map(html.unescape, na_action="ignore")

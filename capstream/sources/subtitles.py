@@ -49,10 +49,10 @@ def parse_srt(files: DataFrame, keys: list[str], html5: bool = False) -> DataFra
     blocks = files.select(*keys, F.posexplode(F.split(text, _BLANK)).alias("at", "block"))
     blocks = blocks.where(F.col("block").rlike(TIME_RANGE)).withColumn("lines", F.split("block", "\n"))
     head = F.array_position(F.transform("lines", lambda x: x.rlike(TIME_RANGE)), True).cast("int")
-    blocks = blocks.withColumn("head", head).withColumn("line", F.element_at("lines", F.col("head")))
+    blocks = blocks.withColumn("head", head).withColumn("line", F.get("lines", F.col("head") - 1))
     rows = blocks.select(
         *keys, "at", parse_timecode(F.regexp_extract("line", TIME_RANGE, 1)).alias("start"), parse_timecode(F.regexp_extract("line", TIME_RANGE, 2)).alias("end"),
-        F.array_join(F.slice("lines", F.col("head") + 1, F.size("lines")), "\n").alias("raw"),
+        F.array_join(F.slice("lines", F.col("head") + 1, F.greatest(F.size("lines"), F.lit(0))), "\n").alias("raw"),
     )
     return _cues(rows, keys, html5)
 
