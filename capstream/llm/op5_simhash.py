@@ -239,10 +239,13 @@ def _verify(probes: DataFrame, distance: int, keys: list[str]) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long")
 
 
-def _around(nodes: DataFrame) -> DataFrame:
+def _around(nodes: DataFrame, distance: int) -> DataFrame:
     """Links of at most 2 bits between 64-bit fingerprints, which are their own node, by the words around each."""
     flips = F.array(F.lit(0).cast("long"), *[F.shiftleft(F.lit(1).cast("long"), b) for b in range(64)])
     around = nodes.select("node", F.explode(F.transform(flips, lambda f: F.col("node").bitwiseXOR(f))).alias("word"))
+    if distance < 2:  # a word must then be a fingerprint itself
+        found = around.join(nodes.select(F.col("node").alias("v")), F.col("word") == F.col("v")).select(F.col("node").alias("u"), "v")
+        return found.where("u != v" if distance else "false")
     least = around.groupBy("word").agg(F.min("node").alias("v"), F.count("*").alias("n")).where("n > 1")
     return around.join(least, "word").select(F.col("node").alias("u"), "v").where("u != v").distinct()
 
@@ -260,7 +263,7 @@ def near_links(classes: DataFrame, bits: int, distance: int, parts: int | None =
     links = _verify(probes.join(large, ["part", "key"], "left_anti"), distance, ["part", "key"])
     hot = probes.join(large.select("part", "key", "n"), ["part", "key"])
     if distance <= 2 and bits == 64:
-        return links.unionByName(_around(hot.select("node").distinct()))
+        return links.unionByName(_around(hot.select("node").distinct(), distance))
     salts = F.ceil(F.col("n") / BUCKET_ROWS).cast("long")
     hot = hot.withColumn("order", F.xxhash64("node", "part"))
     spread = hot.withColumn("salt", F.pmod("order", salts))
