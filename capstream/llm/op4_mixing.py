@@ -31,6 +31,7 @@ CAP = 3
 BLOCK_WORDS, CORPUS_BLOCKS, SOURCE_BLOCKS = 2048, 2**17, 256
 #: Hex digits of the order key that name a bucket of a source's stream; bits of a stretch of time.
 BUCKET_DIGITS, STRETCH_BITS = 3, 16
+MAX_BROADCAST, SALTS = 20_000, 64
 
 
 def order_key(seed: int, doc_id: Column) -> Column:
@@ -126,10 +127,25 @@ def schedule(plan: DataFrame) -> DataFrame:
     )
 
 
+def with_source(rows: DataFrame, sources: DataFrame, on: Column | str, n_sources: int, salt: Column) -> DataFrame:
+    """Rows joined with what is known of their source, without bringing a hot source's rows together.
+
+    Up to MAX_BROADCAST sources, counted before, are broadcast; more are repeated for each of SALTS salts.
+    """
+    if n_sources <= MAX_BROADCAST:
+        return rows.join(F.broadcast(sources), on)
+    salted = rows.withColumn("_salt", F.pmod(salt, F.lit(SALTS)))
+    sources = sources.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    if isinstance(on, str):
+        sources, on = sources.withColumnRenamed(on, "_on"), F.col(on) == F.col("_on")
+    return salted.join(sources, on & (F.col("_salt") == F.col("_of"))).drop("_salt", "_of", "_on")
+
+
 def stream(sizes: DataFrame, plan: DataFrame) -> DataFrame:
     """Every document with its source's plan and `at`, its first word's place in the source's stream."""
     rows = sizes.withColumn("bucket", F.substring("key", 1, BUCKET_DIGITS))
-    rows = rows.join(plan, rows.source.eqNullSafe(plan.source)).drop(plan.source)
+    known = plan.withColumnRenamed("source", "_source")
+    rows = with_source(rows, known, F.col("source").eqNullSafe(F.col("_source")), plan.count(), F.xxhash64("key")).drop("_source")
     earlier = Window.partitionBy("no").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = rows.groupBy("no", "bucket").agg(F.sum("size").alias("total"))
     totals = totals.select("no", "bucket", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("earlier"))
@@ -176,7 +192,7 @@ def mixed_texts(docs: DataFrame, columns: tuple[str, ...], seed: int = 4, weight
     streamed = stream(sized(docs, seed, columns), plan)
     # a rank takes block rank mod blocks, so in each epoch the blocks taken are a prefix of all
     takes = schedule(plan).groupBy("no", "epoch").agg(F.max("block_no").alias("last_block"))
-    rows = streamed.where("size > 0").join(takes, "no")
+    rows = with_source(streamed.where("size > 0"), takes, "no", plan.count(), F.xxhash64("at"))
     end = F.least(F.col("size"), (F.col("last_block") + 1) * F.col("block") - F.col("at"))
     rows = rows.withColumn("end", end).where("end > 0")
     text = F.col("kept.text")
