@@ -23,10 +23,12 @@ def _ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def suffix_arrays(texts: list[np.ndarray]) -> list[np.ndarray]:
     """The suffix array of each text of non-negative symbols (without the empty suffix)."""
+    if not texts:
+        return []
     lengths = np.array([len(t) + 1 for t in texts], np.int64)
     ends = 1 + np.cumsum(lengths)
     begins = ends - lengths
-    total = int(ends[-1]) if len(texts) else 1
+    total = int(ends[-1])
     symbols = np.zeros(total, np.int64)  # place 0 belongs to no text; every text ends with its own least symbol, 0
     owner = np.zeros(total, np.int64)
     for k, text in enumerate(texts):
