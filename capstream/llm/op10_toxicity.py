@@ -91,10 +91,15 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
         return Model(float(np.log(prior / (1 - prior))), {})
     ids, df = np.unique(np.concatenate(positive), return_counts=True)
     ids, df = ids[df >= min(MIN_POSITIVE, len(positive))], df[df >= min(MIN_POSITIVE, len(positive))]
-    everything = np.concatenate([*unlabelled, np.empty(0, np.uint32)])
-    at = np.searchsorted(ids, everything)
-    at = at[(at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == everything)] if len(ids) else at[:0]
-    other = np.bincount(at, minlength=len(ids))
+
+    def columns(features: np.ndarray) -> np.ndarray:
+        """Places among the chosen ids; one set at a time, as all at once would fill the driver's memory."""
+        at = np.searchsorted(ids, features).astype(np.int32)
+        return at[(at < len(ids)) & (ids[np.minimum(at, len(ids) - 1)] == features)] if len(ids) else at[:0]
+
+    other = np.zeros(len(ids), np.int64)
+    for features in unlabelled:
+        other[columns(features)] += 1
     lift = (df / len(positive)) / ((other + 1) / (len(unlabelled) + 1 / max(prior, 1e-3)))
     worth = df * np.log(np.maximum(lift, 1e-9))
     keep = np.sort(np.argsort(-np.where(lift >= MIN_LIFT, worth, -np.inf), kind="stable")[: min(MAX_FEATURES, int((lift >= MIN_LIFT).sum()))])
@@ -102,11 +107,8 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
 
     def rows(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Row and column numbers of the ones in the feature matrix."""
-        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        flat = np.concatenate([*sets, np.empty(0, np.uint32)])
-        col = np.searchsorted(ids, flat)
-        ok = (col < len(ids)) & (ids[np.minimum(col, len(ids) - 1)] == flat) if len(ids) else np.zeros(len(flat), bool)
-        return row[ok], col[ok]
+        found = [columns(s) for s in sets]
+        return np.repeat(np.arange(len(sets)), [len(f) for f in found]), np.concatenate([*found, np.empty(0, np.int32)])
 
     (pr, pc), (ur, uc) = rows(positive), rows(unlabelled)
     weights, bias = np.zeros(len(ids)), float(np.log(max(prior, 1e-3) / (1 - min(prior, 0.999))))
