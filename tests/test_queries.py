@@ -34,7 +34,7 @@ def test_query(spark, con, name):
         assert plain(got) == plain(want)
 
 
-def test_a_run_prefers_tracks_skips_what_is_done_and_isolates_errors(spark):
+def test_a_run_prefers_tracks_skips_what_is_done_and_isolates_errors(spark, tmp_path):
     settings = manifest.Settings()
     raw = spark.createDataFrame([("BV1uknVz9EeN av1 av2 av3\nnonsense",)], "raw string")
     cues = spark.createDataFrame([("av1", "x.zh.srt", 0.0, 1.0, "track"), ("av2", "x.srt", 0.0, 1.0, "[music]")], "output_key string, name string, start double, end double, text string")
@@ -46,7 +46,8 @@ def test_a_run_prefers_tracks_skips_what_is_done_and_isolates_errors(spark):
     items = {r.raw_input: (r.success, r.skipped, r.failure_reason) for r in first.items.collect()}
     assert items["av1"] == items["av2"] == (True, False, None)
     assert items["av3"] == (False, False, "no segments") and items["nonsense"][0] is False
-    again = batch.run(raw, cues, samples, first.manifests.select("output_key", "fingerprint", "status"), settings)
+    first.manifests.write.parquet(str(tmp_path / "manifests"))
+    again = batch.run(raw, cues, samples, spark.read.parquet(str(tmp_path / "manifests")), settings)
     assert {r.raw_input for r in again.items.collect() if r.skipped} == {"av1", "av2"}
     assert again.segments.count() == 0
 
