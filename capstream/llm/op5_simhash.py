@@ -43,17 +43,24 @@ PROBE_COST = 60
 _CHUNK = 1 << 15
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, lanes: int = 1) -> bytes:
-    """Big-endian bits, each 1 if it is set in over half of the shingles' hashes."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
+    """Hashes of all word shingles, repeated ones too; a shorter text is one shingle."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()  # of bytes: A-Z and ASCII white space only
     if not words:
-        return bytes(8 * lanes)
+        return np.empty(0, np.uint64)
     whole = b" ".join(words)
     ends = list(accumulate((len(w) + 1 for w in words)))
     starts = [0, *ends[:-1]]
     spans = zip(starts, ends[shingle - 1 :], strict=False) if len(words) >= shingle else [(0, ends[-1])]
     digest = xxhash.xxh64_intdigest
-    h = np.fromiter((digest(whole[s : e - 1], SEED) for s, e in spans), np.uint64)
+    return np.fromiter((digest(whole[s : e - 1], SEED) for s, e in spans), np.uint64)
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, lanes: int = 1) -> bytes:
+    """Big-endian bits, each 1 if it is set in over half of the shingles' hashes."""
+    h = shingle_hashes(text, shingle)
+    if not len(h):
+        return bytes(8 * lanes)
     ones = np.zeros(64 * lanes, np.int64)
     for at in range(0, len(h), _CHUNK):
         for lane in range(lanes):
