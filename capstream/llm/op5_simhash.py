@@ -37,7 +37,7 @@ from capstream.llm.common import checkpoint, table
 from capstream.llm.graph import components
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
-SAMPLE, BUCKET_ROWS, PIVOTS = 2048, 8192, 64
+SAMPLE, BUCKET_ROWS = 2048, 8192
 #: Cost of writing and reading one probe, in verified candidates.
 PROBE_COST = 60
 _CHUNK = 1 << 15
@@ -264,20 +264,18 @@ def near_links(classes: DataFrame, bits: int, distance: int, parts: int | None =
     if not sample:
         return classes.select(F.col("node").alias("u"), F.col("node").alias("v"))
     probes = _probes(classes, make_plan(sample, n, bits, distance, parts))
-    large = checkpoint(probes.groupBy("part", "key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node"), "node")).alias("least")).where(F.col("n") > BUCKET_ROWS))
+    large = checkpoint(probes.groupBy("part", "key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_ROWS))
     if large.isEmpty():
         return _verify(probes, distance, ["part", "key"])
     links = _verify(probes.join(large, ["part", "key"], "left_anti"), distance, ["part", "key"])
     hot = probes.join(large.select("part", "key", "n"), ["part", "key"])
     if distance <= 2 and bits == 64:
         return links.unionByName(_around(hot.select("node").distinct(), distance))
-    salts = F.ceil(F.col("n") / BUCKET_ROWS).cast("long")
-    hot = hot.withColumn("order", F.xxhash64("node", "part"))
-    spread = hot.withColumn("salt", F.pmod("order", salts))
-    # about PIVOTS members by hash, sent to every salted part of their bucket
-    shared = hot.where(F.pmod(F.xxhash64("order"), F.greatest(F.lit(1).cast("long"), (F.col("n") / PIVOTS).cast("long"))) == 0)
-    shared = shared.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).where(F.col("salt") != F.pmod("order", salts))
-    return links.unionByName(_verify(spread.unionByName(shared), distance, ["part", "key", "salt"]))
+    # block against block: a member goes to every pair of blocks that its own is in, and each pair is a task's
+    blocks = F.ceil(F.col("n") / BUCKET_ROWS).cast("long")
+    hot = hot.withColumn("own", F.pmod(F.xxhash64("node", "part"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    hot = hot.select("part", "key", "home", "node", "fp", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
+    return links.unionByName(_verify(hot, distance, ["part", "key", "one", "two"]))
 
 
 def grouped(docs: DataFrame, carried: list[str], shingle: int = SHINGLE, distance: int = DISTANCE, lanes: int = 1, parts: int | None = None) -> DataFrame:

@@ -64,6 +64,16 @@ def test_links_against_all_pairs(spark, monkeypatch, bucket_rows, distance):
     assert len(set(got.values())) == len(set(want))
 
 
+def test_pairs_that_only_meet_in_a_large_bucket(spark, monkeypatch):
+    monkeypatch.setattr(op, "BUCKET_ROWS", 64)
+    monkeypatch.setattr(op, "make_plan", lambda *a: [(list(range(k, k + 16)), 0) for k in (0, 16, 32, 48)])
+    rng, values = np.random.default_rng(5), []
+    for x in rng.integers(0, 2**48, 400).tolist():  # the first part is the same in all, each other one differs by a bit
+        values += [x, x ^ sum(1 << (16 * k + int(rng.integers(16))) for k in range(3))]
+    got, want = groups(spark, values, distance=3), roots(values, 3)
+    assert len({(got[v], w) for v, w in zip(values, want, strict=True)}) == len(set(want)) == len(set(got.values()))
+
+
 def test_unequal_thresholds_keep_the_pigeonhole():
     cost, chosen = op.allocate([[0, 100, 1000], [0, 1, 5], [0, 2, 50]], 3)
     assert chosen == [-1, 1, 0] and cost == 7
