@@ -12,9 +12,10 @@ There are no labels for personal data in the tables, so the CRF is trained here
 generated examples (EXAMPLES of them, fixed seed), by the gradient of its exact likelihood.
 
 Scale: one pass without a shuffle; the model (a few thousand weights) goes along with the tasks. The
-patterns are run so that no text, however long or odd, costs more than its length, and the CRF sees
-bounded stretches only. It leaves out runs of digits over MAX_TRIGGER characters, which no entity
-spans, and stretches of some 4000 characters with over MAX_TRIGGERS signs, which are noise.
+patterns are run so that no text, however long or odd, costs more than its length. The CRF sees every
+stretch with signs, however many or long, in windows of STRETCH_TOKENS tokens that overlap by the tokens of two
+entities; a window keeps the entities that start in its middle, so that none is cut. Spans that can't be an
+entity are left early, and scores of repeated spans are kept.
 
 Null text is an empty one and has no spans. Null doc_id and repeated rows are handled like any
 other. An empty table gives an empty result; other columns are ignored.
@@ -26,8 +27,10 @@ import hashlib
 import math
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -36,11 +39,10 @@ from capstream.llm.common import table
 
 KINDS = ("email", "ip", "card", "phone")
 MAX_TOKENS, CONTEXT_TOKENS, EXAMPLES, EPOCHS, RATE, DECAY = 16, 4, 480, 6, 0.3, 1e-4
-#: Stretches of the CRF are cut to so many tokens; an entity has MAX_TOKENS at most.
+#: Stretches are searched in windows of so many tokens; an entity has MAX_TOKENS at most.
 STRETCH_TOKENS = 256
-#: A run of digits longer than any number, or a stretch with more signs than addresses could have, is noise:
-#: only the base patterns look at it.
-MAX_TRIGGER, MAX_TRIGGERS = 128, 48
+#: Scores of spans that are kept, as lists of numbers often repeat theirs; longer spans are not kept.
+KEPT_SCORES, KEPT_CHARACTERS = 1 << 15, 128
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -140,6 +142,7 @@ class SemiMarkov:
 
     def __init__(self, weights: dict | None = None):
         self.weights = weights if weights is not None else {}
+        self.kept: dict[tuple, tuple[float, int] | None] = {}
 
     def lattice(self, text: str, tokens: list[tuple[int, int]]) -> list[list[tuple[int, int, list]]]:
         """For every end: (start, label, features) of the segments that end there."""
@@ -158,13 +161,43 @@ class SemiMarkov:
         get = self.weights.get
         return sum(get(f, 0.0) for f in features)
 
+    def best_type(self, text: str, tokens: list[tuple[int, int]], i: int, j: int, cues: tuple) -> tuple[float, int] | None:
+        """The highest score of tokens i to j as an entity and its label, or None where they can't be one."""
+        low, high = tokens[i][0], tokens[j - 1][1]
+        key = None
+        if high - low <= KEPT_CHARACTERS:  # all that span_features looks at
+            touching = low > 0 and not text[low - 1].isspace(), high < len(text) and text[high].isalnum()
+            key = text[low:high], j - i, touching, _around(text, tokens, i - 1), _around(text, tokens, j), cues
+            if key in self.kept:
+                return self.kept[key]
+        found, features = None, span_features(text, tokens, i, j)
+        if features:
+            more = ("entity", f"tokens={j - i}")
+            found = max(((self.value([*((y, f) for f in features), (y, "bias"), more]), y) for y in range(1, 5)), key=lambda b: b[0])
+        if key:
+            if len(self.kept) >= KEPT_SCORES:
+                self.kept.clear()
+            self.kept[key] = found
+        return found
+
     def decode(self, text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
         """(kind's place, start, end) of the best split's entities."""
-        ends = self.lattice(text, tokens)
-        best: list[tuple[float, tuple | None]] = [(0.0, None)]
-        for j in range(1, len(ends)):
-            best.append(max(((best[i][0] + self.value(f), (i, y)) for i, y, f in ends[j]), key=lambda b: b[0]))
-        out, j = [], len(tokens)
+        n = len(tokens)
+        best: list[tuple[float, tuple | None]] = [(0.0, None)] + [(-math.inf, None)] * n
+        for i, (a, b) in enumerate(tokens):
+            score, kind = best[i][0], _around(text, tokens, i)
+            other = score + self.value([(0, kind), (0, f"len={min(b - a, 20)}", kind)])
+            if other > best[i + 1][0]:
+                best[i + 1] = other, (i, 0)
+            if not (text[a].isalnum() or text[a] in "+("):
+                continue
+            cues = tuple(CUES[w] for w in (text[x:y].lower() for x, y in tokens[max(0, i - 3) : i]) if w in CUES)
+            for j in range(i + 1, min(n, i + MAX_TOKENS) + 1):
+                if text[tokens[j - 1][1] - 1].isalnum():
+                    found = self.best_type(text, tokens, i, j, cues)
+                    if found and score + found[0] > best[j][0]:
+                        best[j] = score + found[0], (i, found[1])
+        out, j = [], n
         while j:
             i, y = best[j][1]
             if y:
@@ -273,33 +306,34 @@ def trained(examples: int = EXAMPLES, epochs: int = EPOCHS, seed: int = 8) -> Se
 def added_spans(text: str, base: list[tuple[int, int, int]], model: SemiMarkov) -> list[tuple[int, int, int]]:
     """What the CRF finds around triggers that no base span covers."""
     taken = sorted((a, b) for _, a, b in base)
+    starts, reach = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
     stretches: list[list[int]] = []
     k = 0
     for m in TRIGGER.finditer(text):
-        if m.end() - m.start() > MAX_TRIGGER:
-            continue
         while k < len(taken) and taken[k][1] <= m.start():
             k += 1
         if k < len(taken) and taken[k][0] <= m.start() and m.end() <= taken[k][1]:
             continue
         low, high = max(0, m.start() - 96), min(len(text), m.end() + 96)
-        if stretches and low <= stretches[-1][1] and high - stretches[-1][0] < 4096:
+        if stretches and low <= stretches[-1][1]:
             stretches[-1][1] = high
-            stretches[-1][2] += 1
         else:
-            stretches.append([low, high, 1])
-    out: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for low, high, triggers in stretches:
-        if triggers > MAX_TRIGGERS:
-            continue
+            stretches.append([low, high])
+    out: list[tuple[int, int, int]] = []
+    step = STRETCH_TOKENS - 2 * MAX_TOKENS
+    for low, high in stretches:
         part = text[low:high]
         tokens = tokens_of(part)
-        for at in range(0, max(1, len(tokens) - 2 * MAX_TOKENS), STRETCH_TOKENS - 2 * MAX_TOKENS):
-            for kind, a, b in model.decode(part, tokens[at : at + STRETCH_TOKENS]):
-                a, b = a + low, b + low
-                if not any(x < b and a < y for x, y in taken) and not any(x < b and a < y for x, y in out):
-                    out[a, b] = (kind, a, b)
-    return list(out.values())
+        for at in range(0, max(1, len(tokens) - 2 * MAX_TOKENS), step):
+            window = tokens[at : at + STRETCH_TOKENS]
+            first = window[MAX_TOKENS][0] if at else 0
+            end = window[STRETCH_TOKENS - MAX_TOKENS][0] if at + STRETCH_TOKENS < len(tokens) else len(part)
+            for kind, a, b in model.decode(part, window):
+                inside, a, b = first <= a < end, a + low, b + low
+                before = bisect_left(starts, b)
+                if inside and not (before and reach[before - 1] > a) and not (out and out[-1][2] > a):
+                    out.append((kind, a, b))
+    return out
 
 
 def spans_of(text: str, model: SemiMarkov) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

@@ -59,3 +59,39 @@ def test_base_spans_stay_and_added_ones_do_not_touch_them():
     assert set(base) <= set(spans)
     extra = [s for s in spans if s not in base]
     assert extra and not any(a < y and x < b for _, a, b in extra for _, x, y in base)
+
+
+def test_long_lists_are_searched_to_their_end():
+    model = op.trained()
+    phone = lambda i: f"({200 + i % 700}) 555-{1000 + i:04d}"
+    for n in (49, 60, 500):
+        for line, kind in ((lambda i: (f"ann berg tel {phone(i)}", phone(i)), "phone"), (lambda i: (f"ann{i} [at] example [dot] com", f"ann{i} [at] example [dot] com"), "email")):
+            text = "\n".join(line(i)[0] for i in range(n))
+            spans = [(op.KINDS[k], text[a:b]) for k, a, b in op.spans_of(text, model)[1]]
+            assert spans == [(kind, line(i)[1]) for i in range(n)]
+
+
+def test_numbers_in_one_run_are_searched():
+    model = op.trained()
+    for sep in (" ", ", "):
+        phones = [f"({200 + 7 * i}) 555-{1000 + 37 * i}" for i in range(20)]
+        text = "call " + sep.join(phones)
+        assert [text[a:b] for k, a, b in op.spans_of(text, model)[1] if k == 3] == phones
+
+
+def test_decoding_is_that_of_the_whole_lattice():
+    import random
+
+    model = op.trained()
+    for text, _ in op._examples(60, random.Random(12)):
+        tokens = op.tokens_of(text)
+        best = [0.0]
+        for ends in model.lattice(text, tokens)[1:]:
+            best.append(max(best[i] + model.value(f) for i, _, f in ends))
+        got = {(tokens_start, end): k + 1 for k, tokens_start, end in model.decode(text, tokens)}
+        score, j = 0.0, 0
+        while j < len(tokens):
+            end = next((e for (a, e) in got if a == tokens[j][0]), None)
+            i, j = j, j + 1 if end is None else next(x + 1 for x, t in enumerate(tokens) if t[1] == end)
+            score += next(model.value(f) for a, y, f in model.lattice(text, tokens)[j] if (a, y) == (i, got.get((tokens[i][0], end), 0)))
+        assert abs(score - best[-1]) < 1e-9
