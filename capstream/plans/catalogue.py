@@ -224,7 +224,17 @@ def run_summary(spark, sf_dir):
 @query(f"""select doc_id, round({q_quality("text", "c", "(doc_id % 3 + 1)")}, 6) as quality, ({q_length("text")} < 4 or c < 0.78 or {q_quality("text", "c", "(doc_id % 3 + 1)")} < 0.68) as enhance,
     ({q_length("text")} <= 1 or c < 0.58 or {q_quality("text", "c", "(doc_id % 3 + 1)")} < 0.5) as binary_pass from (select doc_id, substr(text, 1, (doc_id % 30)::int) as text, (doc_id * 13 % 50 + 50) / 100 as c from documents)""")
 def quality_score(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").substr(F.lit(1), (F.col("doc_id") % 30).cast("int")).alias("text"), ((F.col("doc_id") * 13 % 50 + 50) / 100).alias("c"))
+    return _scored(table(spark, sf_dir, "documents").withColumn("text", F.col("text").substr(F.lit(1), (F.col("doc_id") % 30).cast("int"))))
+
+
+@query()
+def quality_score_whole(spark, sf_dir):
+    """As quality_score, whose SQL scores beginnings of captions' length, of whole texts."""
+    return _scored(table(spark, sf_dir, "documents"))
+
+
+def _scored(docs: DataFrame) -> DataFrame:
+    rows = docs.select("doc_id", "text", ((F.col("doc_id") * 13 % 50 + 50) / 100).alias("c"))
     q = scoring.quality(F.col("text"), F.col("c"), F.col("doc_id") % 3 + 1)
     return rows.select("doc_id", F.round(q, 6).alias("quality"), scoring.needs_enhancement(F.col("text"), F.col("c"), q).alias("enhance"), scoring.needs_binary_pass(F.col("text"), F.col("c"), q).alias("binary_pass"))
 
@@ -368,16 +378,52 @@ def _signs(column: Column, n: int = 32) -> Column:
     return F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+def _words(column: Column) -> Column:
+    """Signs of all components, 64 to a word."""
+
+    def word(k: Column) -> Column:
+        bits = F.transform(F.slice(column, k * 64 + 1, F.lit(64)), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+        return F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x))
+
+    return F.when(F.size(column) > 0, F.transform(F.sequence(F.lit(0), F.floor((F.size(column) - 1) / 64).cast("int")), word)).when(F.size(column) == 0, F.array().cast("array<long>"))
+
+
+#: So many ids in a block of _with_before.
+_IDS = 1 << 16
+
+
+def _with_before(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """rows with b, the value of the row before in the order of the key: lag, by blocks of keys.
+
+    Only the last value of each block comes together to be handed to the next block's first row.
+    """
+    rows = rows.withColumn("_block", F.floor(F.col(key) / _IDS))
+    order = Window.partitionBy("_block").orderBy(F.asc_nulls_last(key))
+    rows = rows.withColumn("_place", F.row_number().over(order)).withColumn("_own", F.lag(value).over(order))
+    last = rows.groupBy("_block").agg(F.max_by(value, "_place").alias("_last"))
+    last = last.withColumn("_last", F.lag("_last").over(Window.orderBy(F.asc_nulls_last("_block"))))
+    both = rows.join(last.withColumnRenamed("_block", "_of"), F.col("_block").eqNullSafe(F.col("_of")))
+    return both.withColumn("b", F.when(F.col("_place") == 1, F.col("_last")).otherwise(F.col("_own"))).drop("_block", "_of", "_place", "_own", "_last")
+
+
 _WORD = "list_sum(list_transform(range(0, 32), lambda i: case when embedding[i + 1] > 0 then (1::bigint << i) else 0 end))::bigint"
 
 
 @query(f"""with s as (select vec_id, {_WORD} as w from embeddings), p as (select vec_id, w, lag(w) over (order by vec_id) as b from s)
     select vec_id, bit_count(xor(w, b))::double / 32 as distance, bit_count(xor(w, b))::double / 32 <= 0.375 as similar from p where b is not null""")
 def hamming_neighbors(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.array(_signs(F.col("embedding"))).alias("w"))
-    after = rows.select((F.col("vec_id") + 1).alias("vec_id"), F.col("w").alias("b"))  # ids have no gaps
-    both = rows.join(after, "vec_id")
-    return both.select("vec_id", signature.distance(F.col("b"), F.col("w"), 32).alias("distance"), signature.similar(F.col("b"), F.col("w"), 0.375, 32).alias("similar"))
+    return _neighbors(table(spark, sf_dir, "embeddings").select("vec_id", F.array(_signs(F.col("embedding"))).alias("w")), 32)
+
+
+@query()
+def hamming_neighbors_whole(spark, sf_dir):
+    """As hamming_neighbors, whose SQL compares 32 components, over all components."""
+    return _neighbors(table(spark, sf_dir, "embeddings").select("vec_id", _words(F.col("embedding")).alias("w")), None)
+
+
+def _neighbors(rows: DataFrame, bits: int | None) -> DataFrame:
+    both = _with_before(rows, "vec_id", "w").where("b is not null")
+    return both.select("vec_id", signature.distance(F.col("b"), F.col("w"), bits).alias("distance"), signature.similar(F.col("b"), F.col("w"), 0.375, bits).alias("similar"))
 
 
 @query("select doc_id, first_value(doc_id) over (partition by source, md5(text) order by doc_id) as used from documents")
@@ -388,13 +434,13 @@ def exact_reuse(spark, sf_dir):
 
 @query()
 def reuse_chain(spark, sf_dir):
-    rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("video"), "vec_id", F.array(_signs(F.col("embedding"))).alias("words"))
-    return sampling.reuse(rows, "video", "vec_id", "words", 0.25, 32)
+    rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("video"), "vec_id", _words(F.col("embedding")).alias("words"))
+    return sampling.reuse(rows, "video", "vec_id", "words", 0.25)
 
 
 @query()
 def signature_names(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").select("vec_id", signature.signature_hex(F.array(_signs(F.col("embedding")))).alias("signature"))
+    return table(spark, sf_dir, "embeddings").select("vec_id", signature.signature_hex(_words(F.col("embedding"))).alias("signature"))
 
 
 def _boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
