@@ -133,13 +133,13 @@ def assemble(samples: DataFrame, key: str = "output_key", interval: float = INTE
 def assembly_stats(samples: DataFrame, key: str = "output_key", interval: float = INTERVAL, fuzzy: bool = True) -> DataFrame:
     """input_samples, readable_samples, temporal_consensus_groups, overlap_joins, dropped_low_confidence_fragments."""
     seen = samples.groupBy(key).agg(F.count("*").alias("input_samples"), F.count_if(is_readable(F.col("text"))).alias("readable_samples"))
-    found = segments(islands(samples, key, fuzzy), key, interval, support=False)
+    found = segments(islands(samples, key, fuzzy), key, interval)
     dropped = scoring.is_fragment(F.col("text"), F.col("confidence"))
     parts = found.groupBy(key).agg(
         F.count_if(~dropped & (F.size("sample_times") > 1)).alias("temporal_consensus_groups"),
         F.count_if(~dropped).alias("_kept"), F.count_if(dropped).alias("dropped_low_confidence_fragments"),
     )
-    final = assemble(samples, key, interval, fuzzy, support=False).groupBy(key).agg(F.count("*").alias("_final"))
+    final = assemble(samples, key, interval, fuzzy).groupBy(key).agg(F.count("*").alias("_final"))
     rows = seen.join(parts, key, "left").join(final, key, "left").na.fill(0)
     return rows.withColumn("overlap_joins", F.col("_kept") - F.col("_final")).drop("_kept", "_final")
 

@@ -352,6 +352,12 @@ def frame_keep(spark, sf_dir):
     return captions.frames_to_keep(lines(spark, sf_dir), fuzzy=False).select("output_key", "pos", "keep")
 
 
+@query()
+def frame_keep_fuzzy(spark, sf_dir):
+    """The whole rule, near-equal neighbours being unchanged; SQL has no ratio, so frame_keep goes without."""
+    return captions.frames_to_keep(lines(spark, sf_dir)).select("output_key", "pos", "keep")
+
+
 # --- frames
 
 

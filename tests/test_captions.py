@@ -98,3 +98,43 @@ def test_frames_worth_keeping(spark):
     rows = captions.frames_to_keep(samples(spark, (0, ""), (3, ""), (6, "hello"), (9, "hello"), (12, "hello", 0.5, 0.5))).orderBy("time").collect()
     assert [r.keep for r in rows] == [True, False, True, False, True]
     assert captions.frames_to_keep(samples(spark, (0, "a")), mode="none").first().keep is False
+
+
+def test_stats_count_the_joins_of_assemble_where_support_decides(spark):
+    a, b = "abcdefghijk lmnox", "abcdefghijk lmnop"  # equally long; b is the better supported, a of better quality
+    df = samples(spark, (0, a, 0.9, 0.9), (3, b), (6, b), (9, "lmnop something else"))
+    assert [r.reconstruction for r in captions.assemble(df).collect()] == ["overlap_join"]
+    assert captions.assembly_stats(df).first().overlap_joins == 1
+
+
+def test_frames_to_keep_by_the_whole_rule(spark, tmp_path):
+    from capstream.plans import catalogue
+
+    said = ["the quick brown fox jumps", "the quick brawn fox jumps", "something else", "", " ", "shorts", "shirts", "shirts and more"]
+    turns = [(1, i, "user", x) for i, x in enumerate(said)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    docs = [(1, "\n".join(said), "en", "s", 0)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = catalogue.lines(spark, str(tmp_path)).collect()
+    want = {}
+    for key in {r.output_key for r in rows}:
+        before = None
+        for r in sorted((r for r in rows if r.output_key == key), key=lambda r: r.time):
+            k, blank = text_key(spark, r.text), not (r.text or "").strip()
+            if before is None:
+                keep = True
+            elif blank and before[1]:
+                keep = False
+            else:
+                p = before[0]
+                same = bool(p and k) and (p == k or p in k or k in p or SequenceMatcher(None, p, k).ratio() >= (0.88 if min(len(p), len(k)) >= 8 else 0.92))
+                keep = not same or r.confidence < 0.65
+            want[key, r.pos] = keep
+            before = k, blank
+    got = {(r.output_key, r.pos): r.keep for r in catalogue.frame_keep_fuzzy(spark, str(tmp_path)).collect()}
+    exact = {(r.output_key, r.pos): r.keep for r in catalogue.frame_keep(spark, str(tmp_path)).collect()}
+    assert got == want and got != exact
+
+
+def text_key(spark, value):
+    return spark.createDataFrame([(value,)], "t string").select(text.comparison_key(F.col("t"))).first()[0]
