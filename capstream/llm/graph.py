@@ -8,26 +8,34 @@ from pyspark.sql import functions as F
 from capstream.llm.common import checkpoint
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node, root (the smallest node of its component) for every node of links(u, v), both long.
 
-    Alternating large-star and small-star steps: every step points neighbours at the smallest node
-    seen nearby and never makes more links than there were, whatever the degrees; some log(n) rounds
-    do. Minima are pre-aggregated, so a hub costs one row for each task, and the joins back are plain
-    ones, which adaptive execution may split where a hub is hot. Only a count and a sum reach the driver.
+    By contraction: every node points at its smallest neighbour if that is smaller, pointers are followed
+    twice as far once or more (in every round once more than in the one before), and links are then drawn
+    between what their ends point at. Rounds go on until no link is left, so the result is whole; links
+    never become more. Where nodes are hashes two or three rounds do, and a long chain in order takes
+    some log(length). At the end the pointers of all rounds are followed from the last to the first.
+
+    Minima are pre-aggregated, so a hub costs one row for each task; the joins read checkpoints, and
+    adaptive execution may split them where a hub is hot. Only whether links are left reaches the driver.
     """
     edges = checkpoint(links.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
-    for _ in range(max_rounds):
+    rounds = []
+    while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = edges.join(least.select(F.col("u").alias("v"), "m"), "v").select("u", F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        edges = checkpoint(small.where("u != v").distinct())
-        after = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if after == before:
-            break
-        before = after
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+        pointers = checkpoint(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        for _ in range(1 + len(rounds)):
+            further = pointers.select(F.col("u").alias("m"), F.col("m").alias("far"))
+            pointers = checkpoint(pointers.join(further, "m").select("u", F.col("far").alias("m")))
+        rounds.append(pointers)
+        ends = edges.join(pointers, "u").select("v", F.col("m").alias("a"))
+        ends = ends.join(pointers.withColumnRenamed("u", "v"), "v").where("a != m")
+        edges = checkpoint(ends.select(F.greatest("a", "m").alias("u"), F.least("a", "m").alias("v")).distinct())
+    if not rounds:
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    found = rounds.pop()
+    while rounds:  # what a later round says of where an earlier one points
+        later = found.select(F.col("u").alias("m"), F.col("m").alias("root"))
+        found = checkpoint(rounds.pop().join(later, "m", "left").select("u", F.coalesce("root", "m").alias("m")))
+    return found.select(F.col("u").alias("node"), F.col("m").alias("root"))

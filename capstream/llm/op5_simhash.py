@@ -14,8 +14,9 @@ bucket's links only a spanning forest leaves its task. A bucket of over BUCKET_R
 another, exact way if d is 2 at most: two fingerprints differ in at most 2 bits exactly if some
 64-bit word differs from each in at most one, so every fingerprint is sent to the words around it
 and points at the smallest one there, which is linear in the bucket and spreads over all tasks. With
-larger d (the recall-bound use in the pipeline) such a bucket is dealt into salted parts that share
-PIVOTS of its members. Components come from links alone; nothing but the sample reaches the driver.
+larger d such a bucket is dealt into blocks, and every pair of blocks is compared in a task of its own.
+Components come from links alone; classes learn their component, and documents their class's, where a
+class of many documents is broadcast rather than brought together. Nothing but the sample reaches the driver.
 
 Null text has no words, like an empty one: fingerprint zero. Null doc_id: the row is kept, and counts
 only where no other id is in its component (component_id is then null). Repeated rows are one class.
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm.common import checkpoint, table
+from capstream.llm.common import checkpoint, heavy_keys, table, with_known
 from capstream.llm.graph import components
 
 SHINGLE, DISTANCE, SEED = 3, 2, 42
@@ -278,20 +279,23 @@ def near_links(classes: DataFrame, bits: int, distance: int, parts: int | None =
     return links.unionByName(_verify(hot, distance, ["part", "key", "one", "two"]))
 
 
-def grouped(docs: DataFrame, carried: list[str], shingle: int = SHINGLE, distance: int = DISTANCE, lanes: int = 1, parts: int | None = None) -> DataFrame:
-    """The carried columns, fp and node, the root of its component, of every document."""
+def grouped(docs: DataFrame, carried: list[str], shingle: int = SHINGLE, distance: int = DISTANCE, lanes: int = 1, parts: int | None = None, least: str | None = None) -> DataFrame:
+    """The carried columns, fp and node, and the root of its component, of every document; with `least`, also that column's minimum there."""
     node = F.conv(F.hex("fp"), 16, -10).cast("long") if lanes == 1 else F.xxhash64("fp")
     prints = checkpoint(fingerprints(docs, carried, shingle, lanes).withColumn("node", node))
-    classes = checkpoint(prints.groupBy("fp", "node").agg(F.count("*").alias("copies")).drop("copies"))
+    classes = checkpoint(prints.groupBy("fp", "node").agg(F.count("*").alias("n"), *([F.min(least).alias("own")] if least else [])))
     found = components(near_links(classes, 64 * lanes, distance, parts))
-    joined = prints.join(found, "node", "left")
-    return joined.withColumn("root", F.coalesce("root", "node"))
+    known = classes.drop("fp").join(found, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    if least:  # minima of components, told to their classes; a component of many classes may be split by adaptive execution
+        known = checkpoint(known)
+        minima = checkpoint(known.groupBy("root").agg(F.min("own").alias("least")))
+        known = known.join(minima, "root")
+    return with_known(prints, known.drop("n", "own"), "node", heavy_keys(classes, "node"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = grouped(table(spark, sf_dir, "documents"), ["doc_id"])
-    first = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(first, "root").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+    rows = grouped(table(spark, sf_dir, "documents"), ["doc_id"], least="doc_id")
+    return rows.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), F.col("least").alias("component_id"))
 
 
 QUERIES = {"op5_simhash": op5_simhash}
