@@ -10,7 +10,8 @@ whole. The prior is counted over all labelled rows that may be learnt from.
 Rows whose crc32(doc_id as text) mod 5 is 0 are held out: neither their labels nor their texts are
 learnt from. Score inputs are the words of the text alone.
 
-Scale: the sample is the only thing that reaches the driver; scoring is one pass without a shuffle.
+Scale: the sample is fitted in one task of an executor, and only the model's MAX_FEATURES weights reach the
+driver; scoring is one pass without a shuffle.
 
 Null text and text without words get the score of no features at all. Null doc_id counts as held out.
 Repeated rows are scored each. Without a single learnable positive everything scores the prior.
@@ -55,7 +56,7 @@ def text_features(text: str | None) -> np.ndarray:
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         found = [text_features(t).tobytes() for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(found, pa.binary())], names=["positive", "features"])
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("positive"), pa.array(found, pa.binary())], names=["doc_id", "positive", "features"])
 
 
 class Model:
@@ -150,10 +151,17 @@ def train(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE,
     others = ids.orderBy(*order).limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen.unionByName(others)), "doc_id")  # max_positive + max_unlabelled rows
     sample = sample.groupBy("doc_id", "positive").agg(F.min("text").alias("text"))  # an id counts once, however often it is repeated
-    found = sample.select("positive", "text").mapInArrow(_sample_features, "positive boolean, features binary").collect()
-    sets = [(r.positive, np.frombuffer(r.features, np.uint32)) for r in found]
-    del found
-    return fit([f for p, f in sets if p], [f for p, f in sets if not p], prior)
+    found = sample.mapInArrow(_sample_features, f"doc_id {dict(sample.dtypes)['doc_id']}, positive boolean, features binary")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = [row for batch in batches for row in zip(*(batch.column(c).to_pylist() for c in ("positive", "doc_id", "features")), strict=True)]
+        sets = [(p, np.frombuffer(f, np.uint32)) for p, _, f in sorted(sets)]
+        model = fit([f for p, f in sets if p], [f for p, f in sets if not p], prior)
+        columns = [pa.array([model.bias]), pa.array([list(model.weights)], pa.list_(pa.int64())), pa.array([list(model.weights.values())], pa.list_(pa.float64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["bias", "hashes", "weights"])
+
+    made = found.repartition(1).mapInArrow(run, "bias double, hashes array<long>, weights array<double>").first()
+    return Model(made.bias, dict(zip(made.hashes, made.weights, strict=True))) if made else fit([], [], prior)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -62,3 +62,34 @@ def test_risk_is_not_driven_below_zero():
     unlabelled = [rng.choice(200, 20, replace=False).astype(np.uint32) for _ in range(60)]
     model = op.fit(positive, unlabelled, 0.2)
     assert np.isfinite(model.bias) and all(np.isfinite(w) for w in model.weights.values())
+
+
+def test_fit_against_the_plain_risk():
+    """The same steps down the risk, with dense matrices and the risk's gradient by finite differences."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    base = rng.choice(40, (70, 12)).astype(np.uint32)
+    positive = [np.unique(np.append(r, [100 + i % 3, 100 + i % 2])).astype(np.uint32) for i, r in enumerate(base[:20])]
+    unlabelled = [np.unique(np.append(r, [100] if i % 9 == 0 else [])).astype(np.uint32) for i, r in enumerate(base[20:])]
+    prior, soft = 0.3, lambda z: np.logaddexp(0, z)
+    model = op.fit(positive, unlabelled, prior)
+    ids = list(model.weights)
+    xp, xu = (np.array([[1.0, *(i in s for i in ids)] for s in map(set, (x.tolist() for x in sets))]) for sets in (positive, unlabelled))
+
+    def part(w, which):
+        corrected = soft(xu @ w).mean() - prior * soft(xp @ w).mean()
+        return corrected if which == "corrected" else prior * soft(-xp @ w).mean() + corrected
+
+    w, m, v, clipped = np.append(np.log(prior / (1 - prior)), np.zeros(len(ids))), 0.0, 0.0, 0
+    for t in range(1, op.EPOCHS + 1):
+        back = part(w, "corrected") < 0
+        clipped += back
+        units = np.eye(len(w)) * 1e-6
+        grad = np.array([(part(w + u, "corrected" if back else "all") - part(w - u, "corrected" if back else "all")) / 2e-6 for u in units])
+        grad = (-op.STEP_BACK * grad if back else grad) + op.DECAY * np.append(0, w[1:])
+        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
+        w = w - op.RATE * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
+    assert clipped and len(ids) >= 3
+    texts = np.concatenate([xp, xu])
+    assert np.allclose(texts @ w, texts @ np.append(model.bias, list(model.weights.values())), atol=0.05)
