@@ -6,7 +6,10 @@ it; laid end to end, the slots of all sources are the cumulative weights, in uni
 at place p gets time t, the van der Corput point of p: reversing the bits of p is its own inverse,
 so mapping the points of all times through the cumulative weights, and reversing every place, are
 the same. Slots are then ranked in time within their source, and the slot of rank r takes block
-r mod (number of blocks): every block is taken before any is taken again.
+r mod (number of blocks): every block is taken before any is taken again. The mix is the blocks in the order of
+their slots' times. A document stands in it wherever a slot takes a block that holds some of its words: its
+first and last slot say where, and the mixed texts come in that order, a document's neighbouring blocks of an
+epoch joined at the slot of its first word.
 
 Scale: nothing but one row for each source meets in one task. Streams and ranks are prefix sums in
 two levels (within a hash bucket or a stretch of time, then over their totals), so that a source
@@ -166,39 +169,44 @@ def pieces(streamed: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 4, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every document, and the source."""
+    """doc_id, size, source_size, target, taken for every document, the source, and the first and last slot (times) that take of it."""
     sizes = checkpoint(sized(docs, seed))
     plan = checkpoint(source_plan(sizes, weights, cap))
     streamed = stream(sizes, plan)
-    takes = schedule(plan).groupBy("no", "block_no").agg(F.count("*").alias("times"))
+    takes = schedule(plan).groupBy("no", "block_no").agg(F.count("*").alias("times"), F.min("time").alias("first_slot"), F.max("time").alias("last_slot"))
     taken = pieces(streamed).join(takes, ["no", "block_no"])
-    taken = taken.groupBy("no", "at").agg(F.sum((F.col("last") - F.col("first")) * F.col("times")).alias("taken"))
+    words = F.sum((F.col("last") - F.col("first")) * F.col("times"))
+    taken = taken.groupBy("no", "at").agg(words.alias("taken"), F.min("first_slot").alias("first_slot"), F.max("last_slot").alias("last_slot"))
     names = ("doc_id", "size", "source_size", "target")
     some = streamed.where("size > 0").join(taken, ["no", "at"], "left")
-    none = streamed.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    last = ("source", "block", "slots")
+    none = streamed.where("size = 0").withColumns({"taken": F.lit(0).cast("long"), "first_slot": F.lit(None).cast("long"), "last_slot": F.lit(None).cast("long")})
+    last = ("source", "block", "slots", "first_slot", "last_slot")
     return some.select(*names, F.coalesce("taken", F.lit(0)).alias("taken"), *last).unionByName(none.select(*names, "taken", *last))
 
 
 def mixed_texts(docs: DataFrame, columns: tuple[str, ...], seed: int = 4, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """The mix itself: `columns` of the documents, one row for each time that it takes a stretch of a document.
+    """The mix itself, in order: `columns` of the documents, one row for each time that it takes a stretch of a document.
 
-    Neighbouring blocks taken equally often stay one stretch, so a document taken whole comes whole;
-    a part of a document starts with a word and ends with the white space after its last one.
-    A document taken n times comes as n rows.
+    In every epoch a document's stretch comes at the slot that takes its first word, so that sources alternate
+    as their slots do; rows are sorted by it. Neighbouring blocks of an epoch stay one stretch, so a document
+    taken whole comes whole; a part of a document starts with a word and ends with the white space after its
+    last one. A document taken n times comes as n rows.
     """
     sizes = checkpoint(sized(docs, seed))
     plan = checkpoint(source_plan(sizes, weights, cap))
-    streamed = stream(sized(docs, seed, columns), plan)
+    slots = checkpoint(schedule(plan).select("no", "epoch", "block_no", "time"))
+    n_sources = plan.count()
     # a rank takes block rank mod blocks, so in each epoch the blocks taken are a prefix of all
-    takes = schedule(plan).groupBy("no", "epoch").agg(F.max("block_no").alias("last_block"))
-    rows = with_source(streamed.where("size > 0"), takes, "no", plan.count(), F.xxhash64("at"))
+    takes = slots.groupBy("no", "epoch").agg(F.max("block_no").alias("last_block"))
+    rows = with_source(stream(sized(docs, seed, columns), plan).where("size > 0"), takes, "no", n_sources, F.xxhash64("at"))
     end = F.least(F.col("size"), (F.col("last_block") + 1) * F.col("block") - F.col("at"))
-    rows = rows.withColumn("end", end).where("end > 0")
+    rows = rows.withColumn("end", end).where("end > 0").withColumn("block_no", F.floor(F.col("at") / F.col("block")))
+    rows = rows.join(slots, ["no", "epoch", "block_no"])
     text = F.col("kept.text")
     words = F.split(text, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     lead = F.when(text.rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)
     part = F.when(F.col("end") == F.col("size"), text).otherwise(F.concat_ws("", F.slice(words, F.lit(1), (F.col("end") + lead).cast("int"))))
+    rows = rows.orderBy("time", "at")
     return rows.select(*[part.alias(c) if c == "text" else F.col(f"kept.{c}").alias(c) for c in columns])
 
 
@@ -207,7 +215,7 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    """The same mix in closed form: whole epochs, and the words of the last, unfinished one."""
+    """The same mix: words taken in closed form (whole epochs, and the words of the last, unfinished one), slots by the schedule."""
     first = "rows between unbounded preceding and 1 preceding"
     return rf"""
     with d as (select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
@@ -225,12 +233,20 @@ def _sql() -> str:
                           greatest(1, floor(least(source_size, target) / {SOURCE_BLOCKS})))::bigint as block from t),
     n as (select *, ceil(source_size / block)::bigint as blocks from b),
     p as (select *, coalesce(floor(target * blocks / nullif(source_size, 0) + 0.5), 0)::bigint as slots from n),
-    o as (select d.doc_id, d.size, p.source_size, p.target, p.block, p.blocks, p.slots, d.source,
+    o as (select d.doc_id, d.size, p.no, p.source_size, p.target, p.block, p.blocks, p.slots, d.source,
                  sum(d.size) over (partition by p.no order by d.k, d.doc_id nulls first, d.size rows unbounded preceding)::bigint - d.size as pos
           from d join p on d.source is not distinct from p.source)
-    select doc_id, size, source_size, target, source, block, slots,
+    z as (select greatest(sum(slots) - 1, 1)::bigint as most from p),
+    y as (select no, slots, blocks, coalesce(sum(slots) over (order by no {first}), 0)::bigint as start from p),
+    x as (select no, blocks, unnest(range(start, start + slots)) as place from y),
+    v as (select no, blocks, list_sum(list_transform(range(0, length(bin(most))), lambda i: ((place >> i) & 1) << (length(bin(most)) - 1 - i)))::bigint as time from x, z),
+    g as (select no, time, (row_number() over (partition by no order by time) - 1) % blocks as block_no from v),
+    h as (select no, block_no, min(time) as first_time, max(time) as last_time from g group by no, block_no),
+    q as (select o.doc_id, o.no, o.pos, o.size, unnest(range(o.pos // o.block, (o.pos + o.size - 1) // o.block + 1)) as block_no from o where size > 0),
+    e as (select no, pos, min(first_time) as first_slot, max(last_time) as last_slot from q join h using (no, block_no) group by no, pos)
+    select doc_id, size, source_size, target, source, block, slots, case when size > 0 then first_slot end as first_slot, case when size > 0 then last_slot end as last_slot,
            case when size = 0 then 0 else (slots // blocks) * size
-             + greatest(0, least(size, (slots % blocks) * block - pos)) end::bigint as taken from o
+             + greatest(0, least(size, (slots % blocks) * block - pos)) end::bigint as taken from o left join e using (no, pos)
     """
 
 

@@ -10,9 +10,11 @@ Scale: the driver sees one count for each partition, at most MAX_PARTITIONS of t
 as many rows of the matrix. Permuting within a shard is done in two levels (hash stretches of about
 STRETCH_ROWS rows), so no shard is ever sorted by one task.
 
-Null text has no bytes; null doc_id is a row like any other; copies are ordinary rows and spread as
-others do. Rows that tie in everything are equal, so their order does not matter. An empty table
-gives an empty result. Columns not named are carried only if `keep` names them.
+Null text has no bytes; null doc_id is a row like any other. Repeated rows are numbered, so that they are dealt
+independently. Where a row is repeated so often that its hashed partition stands out, its copies
+(written once, with a number each) are spread over all partitions. Rows that tie in everything are equal, so
+their order does not matter. An empty table gives an empty result. Columns not named are carried only if `keep`
+names them; a kept column called shard or slot stays, and the operator's own is then called _shard or _slot.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from capstream.llm.common import table
+from capstream.llm.common import HEAVY, checkpoint, table, unused
 
 SHARDS = 24
 PARTITION_ROWS, MAX_PARTITIONS, STRETCH_ROWS = 16384, 65536, 8192
@@ -71,6 +73,21 @@ def capacities(n: int, shards: int) -> list[int]:
     return [n // shards + (j < n % shards) for j in range(shards)]
 
 
+def _spread(dealt: DataFrame, counted: dict[int, int], n: int, parts: int) -> DataFrame | None:
+    """dealt(kept, draw, part) with the copies of rows that make a partition stand out in any partition; None where none does."""
+    mean = n / parts
+    high = [part for part, count in counted.items() if count > mean + 8 * mean**0.5 + PARTITION_ROWS / 8]
+    if not high:
+        return None
+    draws = dealt.where(F.col("part").isin(high)).groupBy("draw").agg(F.count("*").alias("n"))
+    draws = checkpoint(draws.where(F.col("n") > max(PARTITION_ROWS / 16, n / HEAVY)).select("draw"))  # fewer than HEAVY
+    copies = dealt.join(F.broadcast(draws), "draw").withColumn("number", F.monotonically_increasing_id())
+    copies = checkpoint(copies)  # so that a number stays what it is
+    draw = F.xxhash64("draw", "number")
+    copies = copies.select("kept", draw.alias("draw"), F.pmod(draw, F.lit(parts)).alias("part"))
+    return dealt.join(F.broadcast(draws), "draw", "left_anti").select("kept", "draw", "part").unionByName(copies)
+
+
 def shard_rows(rows: DataFrame, identity: list[Column], shards: int = SHARDS, seed: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns `keep` of `rows`, with shard and slot. `identity`: what tells rows apart."""
     spark = rows.sparkSession
@@ -79,6 +96,9 @@ def shard_rows(rows: DataFrame, identity: list[Column], shards: int = SHARDS, se
     dealt = rows.select(F.struct(*keep).alias("kept"), F.xxhash64(F.lit(seed), *identity).alias("draw"))
     dealt = dealt.withColumn("part", F.pmod("draw", F.lit(parts)))
     counted = dict(dealt.groupBy("part").count().collect())  # at most MAX_PARTITIONS rows
+    spread = _spread(dealt, counted, n, parts)
+    if spread is not None:
+        dealt, counted = spread, dict(spread.groupBy("part").count().collect())
     counts = [counted.get(i, 0) for i in range(parts)]
     matrix = communication_matrix(counts, capacities(n, shards), seed)
     ends = [np.cumsum(row).tolist() for row in matrix]
@@ -98,7 +118,8 @@ def shard_rows(rows: DataFrame, identity: list[Column], shards: int = SHARDS, se
     totals = totals.select("shard", "stretch", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("earlier"))
     here = Window.partitionBy("shard", "stretch").orderBy("again", *order)
     placed = dealt.withColumn("at", F.row_number().over(here) - 1).join(totals, ["shard", "stretch"])
-    return placed.select("kept.*", "shard", (F.col("earlier") + F.col("at")).cast("long").alias("slot"))
+    slot = (F.col("earlier") + F.col("at")).cast("long")
+    return placed.select("kept.*", F.col("shard").alias(unused("shard", keep)), slot.alias(unused("slot", keep)))
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,7 @@ def rows() -> dict[str, list[tuple]]:
     ]
     docs += [(100 + i, sentence(50 + i, 45) + (" you vile troll" if i % 2 else ""), "en", "src0", 0) for i in range(40)]
     labels = [(100 + i, 1, i % 2, "x") for i in range(40)] + [(None, 1, 1, None), (1, None, None, None), (2, 0, 0, None), (999, 1, 1, None)]
+    labels += [(i, 1, 0, None) for i in range(3, 41)]  # so that the share of toxic labels is that of toxic documents
     vectors = [(i, [float((i * j) % 13 - 6) / 8 for j in range(8)], i % 2) for i in range(0, 120)]
     vectors += [(200, None, 0), (250, [1.0, None] + [0.0] * 6, 0), (300, [float("nan")] * 8, 0), (350, [float("inf")] + [0.0] * 7, 0), (None, [1.0] * 8, 0)]
     vectors += [(400, vectors[5][1], 0), (400, vectors[5][1], 0), (401, vectors[5][1], None), (450, [], 1), (500, [0.5, -0.5], 1)]

@@ -7,22 +7,8 @@ import pytest
 from capstream.llm import op4_mixing as op
 from pyspark.sql import functions as F
 
-from tests.llm import tables
-
-
-def targets(sizes: dict, weights=(1, 2, 3), cap=3):
-    """By the rule's own words: stop at the cap, share the excess again, until none is above."""
-    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    total, full = sum(sizes.values()), set()
-    while True:
-        free = [s for s in names if s not in full]
-        left = total - sum(cap * sizes[s] for s in full)
-        share = {s: left * weight[s] / sum(weight[x] for x in free) for s in free}
-        over = {s for s in free if share[s] > cap * sizes[s]}
-        if not over:
-            return {s: cap * sizes[s] if s in full else share[s] for s in names}
-        full |= over
+from tests.llm import brute, tables
+from tests.llm.brute import targets
 
 
 def frame(spark, docs):
@@ -85,3 +71,23 @@ def test_bits_are_reversed(spark):
     row = op.reversed_bits(spark.range(0, 200).withColumn("x", F.col("id") * 7919), "x").collect()
     for r in row:
         assert r.x % 2**64 == int(f"{r.id * 7919:064b}"[::-1], 2)
+
+
+def test_mix_and_its_order_word_by_word(spark):
+    docs = [(d[0], d[1], d[3]) for d in tables.rows()["documents"] if d[0] != 45]
+    stats, order = brute.mixed(docs)
+    got = {repr((r.doc_id, r.size)): (r.taken, r.first_slot, r.last_slot) for r in op.mix(frame(spark, tables.rows()["documents"]).where("doc_id is null or doc_id != 45")).collect()}
+    want = {repr((d[0], brute.n_words(d[1]))): tuple(stats.get(i, (0, None, None))) for i, d in enumerate(docs)}
+    assert got == want
+    rows = op.mixed_texts(frame(spark, tables.rows()["documents"]).where("doc_id is null or doc_id != 45"), ("doc_id", "text")).collect()
+    assert [(r.doc_id, brute.n_words(r.text)) for r in rows] == [(docs[i][0], n) for i, n in order]
+
+
+def test_another_schedule_is_another_mix(spark, monkeypatch):
+    docs = frame(spark, tables.rows()["documents"])
+    slots = lambda: {(r.doc_id, r.size): (r.first_slot, r.last_slot) for r in op.mix(docs).collect()}
+    order = lambda: [r.doc_id for r in op.mixed_texts(docs, ("doc_id", "text")).collect()]
+    one = slots(), order()
+    monkeypatch.setattr(op, "reversed_bits", lambda rows, name: rows.withColumn(name, F.expr(f"shiftleft({name}, 64 - bits)")))  # one source after another
+    two = slots(), order()
+    assert one[0] != two[0] and one[1] != two[1] and sorted(map(repr, one[1])) == sorted(map(repr, two[1]))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -56,3 +57,26 @@ def test_order_is_shuffled_and_copies_spread(spark, monkeypatch):
         assert [k for k, _ in own] == list(range(300))
         rise = sum(a[1] < b[1] for a, b in zip(own, own[1:]))
         assert 100 < rise < 200
+
+
+def test_columns_against_plain_python(spark, tmp_path):
+    got = sorted(repr((r.doc_id, r["size"], r.text_crc32, r.law, r.grown_shard)) for r in op.op6_sharding(spark, tables.write(spark, tmp_path)).collect())
+    data = [(d[0], (d[1] or "").encode()) for d in tables.rows()["documents"]]
+    assert got == sorted(repr((i, len(t) + 8, zlib.crc32(t), "rows", None)) for i, t in data)
+
+
+def test_copies_of_a_row_leave_its_partition(spark, monkeypatch):
+    monkeypatch.setattr(op, "PARTITION_ROWS", 100)
+    rows = spark.range(4000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("x"))
+    dealt = rows.select(F.struct("x").alias("kept"), F.xxhash64("x").alias("draw")).withColumn("part", F.pmod("draw", F.lit(40)))
+    spread = op._spread(dealt, dict(dealt.groupBy("part").count().collect()), 4000, 40)
+    counts = [r["count"] for r in spread.groupBy("part").count().collect()]
+    assert sum(counts) == 4000 and max(counts) < 200
+    assert op._spread(dealt.where("kept.x >= 0"), dict(dealt.where("kept.x >= 0").groupBy("part").count().collect()), 2666, 40) is None
+
+
+def test_names_that_clash(spark, tmp_path):
+    df = spark.range(50).select("id", F.col("id").alias("Shard"), F.lit("x").alias("slot"))
+    op.shard_rows(df, [F.col("id")], 5, keep=("id", "Shard", "slot")).write.parquet(f"{tmp_path}/out")
+    rows = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert all(r.Shard == r.id and r.slot == "x" for r in rows) and Counter(r._shard for r in rows) == dict.fromkeys(range(5), 10)
