@@ -169,7 +169,7 @@ def pieces(streamed: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 4, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every document, the source, and the first and last slot (times) that take of it."""
+    """doc_id, size, source_size, target, taken for every document, the source, and the first and last slot (times) that take of it, -1 where none does."""
     sizes = checkpoint(sized(docs, seed))
     plan = checkpoint(source_plan(sizes, weights, cap))
     streamed = stream(sizes, plan)
@@ -179,9 +179,9 @@ def mix(docs: DataFrame, seed: int = 4, weights: tuple[int, ...] = WEIGHTS, cap:
     taken = taken.groupBy("no", "at").agg(words.alias("taken"), F.min("first_slot").alias("first_slot"), F.max("last_slot").alias("last_slot"))
     names = ("doc_id", "size", "source_size", "target")
     some = streamed.where("size > 0").join(taken, ["no", "at"], "left")
-    none = streamed.where("size = 0").withColumns({"taken": F.lit(0).cast("long"), "first_slot": F.lit(None).cast("long"), "last_slot": F.lit(None).cast("long")})
-    last = ("source", "block", "slots", "first_slot", "last_slot")
-    return some.select(*names, F.coalesce("taken", F.lit(0)).alias("taken"), *last).unionByName(none.select(*names, "taken", *last))
+    none = streamed.where("size = 0").withColumns({c: F.lit(None).cast("long") for c in ("taken", "first_slot", "last_slot")})
+    last = ("source", "block", "slots", F.coalesce("first_slot", F.lit(-1)).alias("first_slot"), F.coalesce("last_slot", F.lit(-1)).alias("last_slot"))
+    return some.unionByName(none).select(*names, F.coalesce("taken", F.lit(0)).alias("taken"), *last)
 
 
 def mixed_texts(docs: DataFrame, columns: tuple[str, ...], seed: int = 4, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
@@ -235,7 +235,7 @@ def _sql() -> str:
     p as (select *, coalesce(floor(target * blocks / nullif(source_size, 0) + 0.5), 0)::bigint as slots from n),
     o as (select d.doc_id, d.size, p.no, p.source_size, p.target, p.block, p.blocks, p.slots, d.source,
                  sum(d.size) over (partition by p.no order by d.k, d.doc_id nulls first, d.size rows unbounded preceding)::bigint - d.size as pos
-          from d join p on d.source is not distinct from p.source)
+          from d join p on d.source is not distinct from p.source),
     z as (select greatest(sum(slots) - 1, 1)::bigint as most from p),
     y as (select no, slots, blocks, coalesce(sum(slots) over (order by no {first}), 0)::bigint as start from p),
     x as (select no, blocks, unnest(range(start, start + slots)) as place from y),
@@ -244,7 +244,7 @@ def _sql() -> str:
     h as (select no, block_no, min(time) as first_time, max(time) as last_time from g group by no, block_no),
     q as (select o.doc_id, o.no, o.pos, o.size, unnest(range(o.pos // o.block, (o.pos + o.size - 1) // o.block + 1)) as block_no from o where size > 0),
     e as (select no, pos, min(first_time) as first_slot, max(last_time) as last_slot from q join h using (no, block_no) group by no, pos)
-    select doc_id, size, source_size, target, source, block, slots, case when size > 0 then first_slot end as first_slot, case when size > 0 then last_slot end as last_slot,
+    select doc_id, size, source_size, target, source, block, slots, case when size > 0 then coalesce(first_slot, -1) else -1 end as first_slot, case when size > 0 then coalesce(last_slot, -1) else -1 end as last_slot,
            case when size = 0 then 0 else (slots // blocks) * size
              + greatest(0, least(size, (slots % blocks) * block - pos)) end::bigint as taken from o left join e using (no, pos)
     """

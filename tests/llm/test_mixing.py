@@ -77,7 +77,7 @@ def test_mix_and_its_order_word_by_word(spark):
     docs = [(d[0], d[1], d[3]) for d in tables.rows()["documents"] if d[0] != 45]
     stats, order = brute.mixed(docs)
     got = {repr((r.doc_id, r.size)): (r.taken, r.first_slot, r.last_slot) for r in op.mix(frame(spark, tables.rows()["documents"]).where("doc_id is null or doc_id != 45")).collect()}
-    want = {repr((d[0], brute.n_words(d[1]))): tuple(stats.get(i, (0, None, None))) for i, d in enumerate(docs)}
+    want = {repr((d[0], brute.n_words(d[1]))): tuple(stats.get(i, (0, -1, -1))) for i, d in enumerate(docs)}
     assert got == want
     rows = op.mixed_texts(frame(spark, tables.rows()["documents"]).where("doc_id is null or doc_id != 45"), ("doc_id", "text")).collect()
     assert [(r.doc_id, brute.n_words(r.text)) for r in rows] == [(docs[i][0], n) for i, n in order]
