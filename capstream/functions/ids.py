@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from capstream.functions.text import LINE_BREAK, trimmed
+
 # Identifiers and addresses of the video platform.
 SUPPORTED = (r"(?i)^https?://\S+$", r"^BV[0-9A-Za-z]{10}$", r"^(?:av|AV)\d+$")
 BV = r"\b(BV[0-9A-Za-z]{10})\b"
@@ -17,7 +19,7 @@ SEPARATOR = r"(?U)[\s,，]+"
 
 
 def _trimmed(c: Column) -> Column:
-    return F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)^\s+|\s+$", "")
+    return trimmed(F.coalesce(c, F.lit("")))
 
 
 def is_supported(c: Column) -> Column:
@@ -62,7 +64,7 @@ def parse_inputs(rows: DataFrame, text: str = "raw", by: tuple[str, ...] = ()) -
     """
     clean = lambda x: _trimmed(F.regexp_replace(_trimmed(x), NUMBER_PREFIX, ""))
     keys = list(by)
-    lines = rows.select(*keys, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\u0085\u2028\u2029]")).alias("line", "part"))
+    lines = rows.select(*keys, F.posexplode(F.split(F.coalesce(F.col(text), F.lit("")), LINE_BREAK)).alias("line", "part"))
     tokens = lines.select(*keys, "line", F.posexplode(F.split(clean(F.col("part")), SEPARATOR)).alias("at", "token"))
     tokens = tokens.withColumn("value", clean(F.col("token"))).where((F.col("value") != "") & ~F.col("value").rlike(r"^\d+[.．、)）:]?$"))
     return tokens.groupBy(*keys, "value").agg(F.min(F.struct("line", "at")).alias("position")).select(*keys, "position", "value")

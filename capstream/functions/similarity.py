@@ -7,7 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
 
 #: Pairs count as the same caption from these ratios on; short texts need the higher one.
 LONG_RATIO, SHORT_RATIO, LONG_KEY = 0.88, 0.92, 8
@@ -19,16 +19,18 @@ def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)], dtype="float64")
 
 
-@F.pandas_udf(DoubleType())
-def mean_ratio(key: pd.Series, members: pd.Series) -> pd.Series:
-    """Mean ratio of a key with each member of its group, itself included; an empty key has none."""
+@F.pandas_udf(ArrayType(DoubleType()))
+def mean_ratios(keys: pd.Series, members: pd.Series) -> pd.Series:
+    """For each of `keys` the mean of its ratios with all members of the group, in order; different members are compared once."""
 
-    def one(k: str | None, others) -> float:
-        if not k or others is None or not len(others):
+    def one(key: str, others: list[str]) -> float:
+        if not key:
             return 0.0
-        return sum(SequenceMatcher(None, k, o).ratio() for o in others) / len(others)
+        known = {o: SequenceMatcher(None, key, o).ratio() for o in dict.fromkeys(others)}
+        return sum(known[o] for o in others) / len(others)
 
-    return pd.Series([one(k, m) for k, m in zip(key, members, strict=True)], dtype="float64")
+    found = [None if k is None or m is None else [one(x, list(m)) for x in k] for k, m in zip(keys, members, strict=True)]
+    return pd.Series(found, dtype="object")
 
 
 def same_key(previous: Column, current: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,9 +23,8 @@ OVERLAP_WINDOW = 12
 
 #: White space as Unicode has it, with the four separators that Java leaves out.
 SPACE = r"(?U)[\s\x1C-\x1F]+"
+EDGES = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\u0085\u2028\u2029]"
-#: Entities replaced natively, the ampersand last; html5=True takes all of HTML.
-ENTITIES = (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;|&apos;", "'"), ("&nbsp;?", " "), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&"))
 
 
 def _text(c: Column) -> Column:
@@ -43,6 +41,11 @@ def spaced(c: Column) -> Column:
     return F.trim(F.regexp_replace(_text(c), SPACE, " "))
 
 
+def trimmed(c: Column) -> Column:
+    """Without white space, of any kind, at either end; null stays null."""
+    return F.regexp_replace(c, EDGES, "")
+
+
 def comparison_key(c: Column) -> Column:
     """Letters and digits only, case folded: what two captions are compared by."""
     return F.replace(F.lower(F.regexp_replace(_text(c), r"[^\p{L}\p{N}]+", "")), F.lit("ß"), F.lit("ss"))
@@ -59,19 +62,15 @@ def meaningful_length(c: Column) -> Column:
 
 @F.pandas_udf(StringType())
 def unescape_html(s: pd.Series) -> pd.Series:
-    """All of HTML5's entities; Arrow batches, for text outside the closed set."""
+    """All of HTML5's entities, named and numbered, as Arrow batches."""
     return s.map(html.unescape, na_action="ignore")
 
 
-def clean_markup(c: Column, html5: bool = False) -> Column:
-    """Subtitle text without override blocks, tags, entities, extra blanks and blank lines."""
+def clean_markup(c: Column) -> Column:
+    """Subtitle text without override blocks, tags, entities, extra blanks and blank lines; only text with an ampersand goes to Python."""
     c = F.replace(F.replace(_text(c), F.lit("\\N"), F.lit("\n")), F.lit("\\n"), F.lit("\n"))
     c = F.regexp_replace(F.regexp_replace(c, r"\{[^}]*\}", ""), "<[^>]+>", "")
-    if html5:
-        c = unescape_html(c)
-    else:
-        for pattern, plain in ENTITIES:
-            c = F.regexp_replace(c, pattern, plain)
+    c = F.coalesce(unescape_html(F.when(F.contains(c, F.lit("&")), c)), c)
     lines = F.filter(F.transform(F.split(c, LINE_BREAK), spaced), lambda x: x != "")
     return F.concat_ws("\n", lines)
 
@@ -87,12 +86,12 @@ def _first(values: Column) -> Column:
 
 def extract_title(log: Column) -> Column:
     """The title that the first line with one names, else null."""
-    named = lambda line: F.coalesce(*[F.when(line.rlike(p), F.trim(F.regexp_extract(line, p, 1))) for p in TITLE_PATTERNS])
+    named = lambda line: F.coalesce(*[F.when(line.rlike(p), trimmed(F.regexp_extract(line, p, 1))) for p in TITLE_PATTERNS])
     return _first(F.transform(F.split(_text(log), LINE_BREAK), named))
 
 
 def last_log_line(log: Column) -> Column:
-    lines = F.filter(F.transform(F.split(_text(log), LINE_BREAK), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(_text(log), LINE_BREAK), trimmed), lambda x: x != "")
     return F.coalesce(F.try_element_at(lines, F.lit(-1)), F.lit("unknown error"))
 
 
@@ -106,15 +105,18 @@ def join_lines(lines: Column) -> Column:
     return F.aggregate(F.transform(lines, spaced), F.lit(""), add)
 
 
+def overlap_of(left: Column, right: Column, window: int = OVERLAP_WINDOW) -> Column:
+    """Length of the longest end of `left`, up to `window`, that `right` starts with; both are spaced() already."""
+    tail, head = F.right(left, F.lit(window)), F.left(right, F.lit(window))
+    out = F.lit(0)
+    for n in range(1, window + 1):
+        out = F.when((F.length(tail) >= n) & (F.length(head) >= n) & (F.right(tail, F.lit(n)) == F.left(head, F.lit(n))), n).otherwise(out)
+    return F.coalesce(out, F.lit(0)).cast("long")
+
+
 def overlap(left: Column, right: Column, window: int = OVERLAP_WINDOW) -> Column:
-    """Length of the longest end of `left`, up to `window`, that `right` starts with."""
-    left, right = spaced(left), spaced(right)
-    limit = F.least(F.length(left), F.length(right))
-    fits = F.filter(
-        F.array(*[F.lit(n) for n in range(window, 0, -1)]),
-        lambda n: (n <= limit) & (F.right(left, n) == F.left(right, n)),
-    )
-    return F.coalesce(F.try_element_at(fits, F.lit(1)), F.lit(0)).cast("long")
+    """overlap_of any two texts."""
+    return overlap_of(spaced(left), spaced(right), window)
 
 
 def ends_sentence(c: Column) -> Column:
@@ -124,10 +126,3 @@ def ends_sentence(c: Column) -> Column:
 def first_occurrences(values: Column) -> Column:
     """Non-empty values in order of first occurrence."""
     return F.array_distinct(F.filter(values, lambda x: x.isNotNull() & (x != "")))
-
-
-def all_of(conditions: Iterable[Column]) -> Column:
-    out = F.lit(True)
-    for c in conditions:
-        out = out & c
-    return out

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capstream.functions import scoring, similarity
-from capstream.functions.text import comparison_key, ends_sentence, first_occurrences, is_readable, join_lines, meaningful_length, overlap, spaced
+from capstream.functions.text import OVERLAP_WINDOW, comparison_key, ends_sentence, first_occurrences, is_readable, join_lines, meaningful_length, overlap_of, spaced, trimmed
 
 INTERVAL = 3.0
 CREDIBLE_CONFIDENCE, CREDIBLE_QUALITY = 0.55, 0.16
@@ -39,36 +39,39 @@ def islands(samples: DataFrame, key: str = "output_key", fuzzy: bool = True) ->
     return rows.withColumn("island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("_before", "_new")
 
 
-def choose(grouped: DataFrame, key: str = "output_key", support: bool = True) -> DataFrame:
-    """The best sample of every island: of the credible ones the longest, best supported, best; else by rank; earliest of equals."""
-    group = Window.partitionBy(key, "island")
-    rows = grouped.withColumn("_best", F.max("quality").over(group))
-    rows = rows.withColumn("_credible", (F.col("confidence") >= CREDIBLE_CONFIDENCE) & (F.col("quality") >= F.col("_best") - CREDIBLE_QUALITY))
-    rows = rows.withColumn("_length", meaningful_length(F.col("text")))
-    backing: Column = F.lit(0.0)
-    if support:
-        rows = rows.withColumn("_members", F.collect_list("_key").over(group))
-        alone = F.size("_members") == 1
-        asked = F.when(~alone & F.col("_credible"), F.col("_key"))
-        backing = F.when(alone, 1.0).otherwise(similarity.mean_ratio(asked, F.when(asked.isNotNull(), F.col("_members"))))
-    rows = rows.withColumn("_support", backing)
-    rank = scoring.sample_rank(F.col("text"), F.col("confidence"), F.col("quality"))
-    order = [F.when(F.col("_credible"), a).otherwise(b).desc() for a, b in ((F.col("_length").cast("double"), rank["support"]), (F.col("_support"), rank["length"].cast("double")), (F.col("quality"), rank["confidence"]))]
-    best = rows.withColumn("_place", F.row_number().over(group.orderBy(F.col("_credible").desc(), *order, "time"))).where("_place = 1")
-    return best.select(key, "island", F.col("text").alias("best_text"))
-
-
 def segments(grouped: DataFrame, key: str = "output_key", interval: float = INTERVAL, support: bool = True) -> DataFrame:
-    """One row for each island: start, end, text, confidence, sample_times, reconstruction, source, alternatives."""
-    ordered = F.array_sort(F.collect_list(F.struct("time", "text")))
-    rows = grouped.groupBy(key, "island").agg(
-        F.min("time").alias("start"), (F.max("time") + interval).alias("end"), F.avg("confidence").alias("confidence"), ordered.alias("_all")
-    )
-    rows = rows.join(choose(grouped, key, support), [key, "island"])
-    others = F.array_except(first_occurrences(F.transform("_all", lambda x: x["text"])), F.array("best_text"))
+    """One row for each island: start, end, text, confidence, sample_times, reconstruction, source, alternatives.
+
+    The text is that of the best sample: of the credible ones the longest, best supported, best; else by rank;
+    the earliest of equals. An island is gathered once, in the partitioning that found it. Only where equally
+    long candidates differ is their support asked for, once for all of them.
+    """
+    rank = scoring.sample_rank(F.col("text"), F.col("confidence"), F.col("quality"))
+    sample = F.struct("time", "text", "confidence", "quality", F.col("_key").alias("key"), meaningful_length(F.col("text")).alias("length"), rank["support"].alias("rank"))
+    rows = grouped.groupBy(key, "island").agg(F.avg("confidence").alias("confidence"), F.array_sort(F.collect_list(sample)).alias("_all"))
+    best = F.array_max(F.transform("_all", lambda x: x["quality"]))
+    credible = F.filter("_all", lambda x: (x["confidence"] >= CREDIBLE_CONFIDENCE) & (x["quality"] >= F.col("_best") - CREDIBLE_QUALITY))
+    rows = rows.withColumn("_best", best).withColumn("_credible", credible)
+    rows = rows.withColumn("_longest", F.array_max(F.transform("_credible", lambda x: x["length"])))
+    rows = rows.withColumn("_open", F.filter("_credible", lambda x: x["length"] == F.col("_longest")))
+    backing = F.lit(0.0)
+    if support:
+        rows = rows.withColumn("_keys", F.array_distinct(F.transform("_open", lambda x: x["key"])))
+        asked = F.size("_keys") > 1
+        members = F.when(asked, F.transform("_all", lambda x: x["key"]))
+        rows = rows.withColumn("_support", similarity.mean_ratios(F.when(asked, F.col("_keys")), members))
+
+        def backing_of(x: Column) -> Column:
+            return F.coalesce(F.try_element_at("_support", F.array_position("_keys", x["key"]).cast("int")), F.lit(0.0))
+
+    place = lambda x: -x["time"]
+    by_support = F.array_max(F.transform("_open", lambda x: F.struct((backing_of(x) if support else backing).alias("a"), x["quality"].alias("b"), place(x).alias("c"), x["text"].alias("text"))))
+    by_rank = F.array_max(F.transform("_all", lambda x: F.struct(x["rank"].alias("a"), x["length"].alias("b"), x["confidence"].alias("c"), place(x).alias("d"), x["text"].alias("text"))))
+    rows = rows.withColumn("_text", F.when(F.size("_open") > 0, by_support["text"]).otherwise(by_rank["text"]))
+    others = F.array_except(first_occurrences(F.transform("_all", lambda x: x["text"])), F.array("_text"))
     return rows.select(
-        key, "island", "start", "end", F.trim("best_text").alias("text"), "confidence",
-        F.transform("_all", lambda x: x["time"]).alias("sample_times"),
+        key, "island", F.col("_all")[0]["time"].alias("start"), (F.try_element_at("_all", F.lit(-1))["time"] + interval).alias("end"),
+        trimmed(F.col("_text")).alias("text"), "confidence", F.transform("_all", lambda x: x["time"]).alias("sample_times"),
         F.when(F.size("_all") > 1, "temporal_consensus").otherwise("direct_ocr").alias("reconstruction"),
         F.lit("hard_subtitle_ocr").alias("source"), others.alias("alternatives"),
     )
@@ -81,18 +84,32 @@ def without_fragments(found: DataFrame) -> DataFrame:
 SEGMENT = "struct<start:double,end:double,text:string,confidence:double,sample_times:array<double>,reconstruction:string,source:string,alternatives:array<string>>"
 
 
-def join_overlaps(found: DataFrame, key: str = "output_key", interval: float = INTERVAL) -> DataFrame:
-    """Neighbours folded where the right one starts as the left one ends: a chain is joined from the left.
+def _runs(found: DataFrame, by: list[str], interval: float) -> DataFrame:
+    """by, _run, _all: the segments in order, cut wherever two neighbours can't be joined whatever has been merged before.
 
-    The fold looks at the text merged so far, so it is one: an `aggregate` over the sorted segments of a key.
+    What has been merged into a segment ends with the whole of the segment's own text. So its ending, and, from
+    OVERLAP_WINDOW characters on, its overlap with the next one are known before anything is merged.
     """
     fields = ("start", "end", "text", "confidence", "sample_times", "reconstruction", "source", "alternatives")
-    one = F.struct(*[F.col(c).cast({"start": "double", "end": "double", "confidence": "double"}.get(c, dict(found.dtypes)[c])) for c in fields])
+    kinds = dict(found.dtypes)
+    one = F.struct(*[F.col(c).cast({"start": "double", "end": "double", "confidence": "double"}.get(c, kinds[c])) for c in fields])
+    order = Window.partitionBy(*by).orderBy("start", "end", "text")
+    rows = found.select(*by, one.cast(SEGMENT).alias("_s"), "start", "end", "text", spaced(F.col("text")).alias("_own"))
+    rows = rows.withColumns({"_left": F.lag("_own").over(order), "_gap": F.col("start") - F.lag("end").over(order)})
+    near = (F.col("_gap") <= interval * 0.5) & ~ends_sentence(F.col("_left"))
+    may = near & ((F.length("_left") < OVERLAP_WINDOW) | (overlap_of(F.col("_left"), F.col("_own")) >= 2))
+    cut = F.when(F.coalesce(may, F.lit(False)), 0).otherwise(1)
+    rows = rows.withColumn("_run", F.sum(cut).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    return rows.groupBy(*by, "_run").agg(F.array_sort(F.collect_list("_s")).alias("_all"))
+
+
+def _folded(every: Column, interval: float) -> Column:
+    """The segments of a run joined from the left, where the right one starts as what is merged so far ends."""
 
     def add(done: Column, x: Column) -> Column:
         last = F.try_element_at(done, F.lit(-1))
         left, right = spaced(last["text"]), spaced(x["text"])
-        n = overlap(left, right)
+        n = overlap_of(left, right)
         merged = F.concat(left, F.substr(right, (n + 1).cast("int")))
         fits = (x["start"] - last["end"] <= interval * 0.5) & ~ends_sentence(last["text"]) & (n >= 2) & (merged != left) & (merged != right)
         a, b = F.size(last["sample_times"]), F.size(x["sample_times"])
@@ -103,13 +120,21 @@ def join_overlaps(found: DataFrame, key: str = "output_key", interval: float = I
             F.lit("overlap_join").alias("reconstruction"), F.lit("hard_subtitle_ocr").alias("source"),
             first_occurrences(F.concat(last["alternatives"], F.array(last["text"]), x["alternatives"], F.array(x["text"]))).alias("alternatives"),
         )
-        longer = F.concat(done, F.array(x))
-        joint = F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined.cast(SEGMENT)))
-        return F.when(F.size(done) == 0, F.array(x)).when(F.coalesce(fits, F.lit(False)), joint).otherwise(longer)
+        joint = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined.cast(SEGMENT)))
+        return F.when(F.coalesce(fits, F.lit(False)), joint).otherwise(F.concat(done, F.array(x)))
+
+    rest = F.slice(every, F.lit(2), F.greatest(F.size(every) - 1, F.lit(0)))
+    return F.when(F.size(every) == 1, every).otherwise(F.aggregate(rest, F.slice(every, 1, 1), add))
+
 
-    rows = found.groupBy(key).agg(F.array_sort(F.collect_list(one.cast(SEGMENT))).alias("all"))
-    folded = F.aggregate("all", F.array().cast(f"array<{SEGMENT}>"), add)
-    return rows.select(key, F.posexplode(folded).alias("at", "s")).select(key, (F.col("at") + 1).cast("long").alias("segment_id"), "s.*")
+def join_overlaps(found: DataFrame, key: str = "output_key", interval: float = INTERVAL) -> DataFrame:
+    """Neighbours folded where the right one starts as the left one ends: a chain is joined from the left.
+
+    The fold looks at the text merged so far; it runs over short runs of neighbours that may be joined at all.
+    """
+    rows = _runs(found, [key], interval).select(key, F.explode(_folded(F.col("_all"), interval)).alias("s")).select(key, "s.*")
+    number = F.row_number().over(Window.partitionBy(key).orderBy("start", "end", "text"))
+    return rows.withColumn("segment_id", number.cast("long"))
 
 
 def clip_ends(found: DataFrame, key: str = "output_key") -> DataFrame:
@@ -130,18 +155,20 @@ def assemble(samples: DataFrame, key: str = "output_key", interval: float = INTE
     return clip_ends(join_overlaps(kept, key, interval), key)
 
 
-def assembly_stats(samples: DataFrame, key: str = "output_key", interval: float = INTERVAL, fuzzy: bool = True) -> DataFrame:
+def assembly_stats(samples: DataFrame, key: str = "output_key", interval: float = INTERVAL, fuzzy: bool = True, support: bool = True) -> DataFrame:
     """input_samples, readable_samples, temporal_consensus_groups, overlap_joins, dropped_low_confidence_fragments."""
     seen = samples.groupBy(key).agg(F.count("*").alias("input_samples"), F.count_if(is_readable(F.col("text"))).alias("readable_samples"))
-    found = segments(islands(samples, key, fuzzy), key, interval)
-    dropped = scoring.is_fragment(F.col("text"), F.col("confidence"))
-    parts = found.groupBy(key).agg(
-        F.count_if(~dropped & (F.size("sample_times") > 1)).alias("temporal_consensus_groups"),
-        F.count_if(~dropped).alias("_kept"), F.count_if(dropped).alias("dropped_low_confidence_fragments"),
+    found = segments(islands(samples, key, fuzzy), key, interval, support)
+    found = found.withColumn("_dropped", scoring.is_fragment(F.col("text"), F.col("confidence")))
+    runs = _runs(found, [key, "_dropped"], interval)
+    joins = F.size("_all") - F.size(_folded(F.col("_all"), interval))
+    several = F.size(F.filter("_all", lambda x: F.size(x["sample_times"]) > 1))
+    parts = runs.groupBy(key).agg(
+        F.sum(F.when(~F.col("_dropped"), several).otherwise(0)).alias("temporal_consensus_groups"),
+        F.sum(F.when(~F.col("_dropped"), joins).otherwise(0)).alias("overlap_joins"),
+        F.sum(F.when(F.col("_dropped"), F.size("_all")).otherwise(0)).alias("dropped_low_confidence_fragments"),
     )
-    final = assemble(samples, key, interval, fuzzy).groupBy(key).agg(F.count("*").alias("_final"))
-    rows = seen.join(parts, key, "left").join(final, key, "left").na.fill(0)
-    return rows.withColumn("overlap_joins", F.col("_kept") - F.col("_final")).drop("_kept", "_final")
+    return seen.join(parts, key, "left").na.fill(0)
 
 
 def frames_to_keep(samples: DataFrame, key: str = "output_key", mode: str = "changed", fuzzy: bool = True) -> DataFrame:

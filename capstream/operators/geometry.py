@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capstream.functions import scoring
-from capstream.functions.text import compact, join_lines
+from capstream.functions.text import compact, join_lines, trimmed
 
 # Relative regions of the picture (top, bottom, left, right).
 CROP = (0.50, 0.94, 0.04, 0.96)
@@ -76,8 +76,8 @@ def row_role(row: Column, width: Column, tall: Column, crop: tuple[float, float,
 
 def candidate(frames: DataFrame, lines: str = "lines", width: str = "width", tall: str = "height", crop=CROP) -> DataFrame:
     """frames with the ordered lines and their role, and text, confidence and quality of what is not a label."""
-    parsed = F.filter(F.col(lines), lambda x: (F.trim(x["text"]) != "") & (F.size(x["box"]) > 0) & x["confidence"].isNotNull())
-    rows = reading_rows(F.transform(parsed, lambda x: F.struct(F.trim(x["text"]).alias("text"), x["confidence"].alias("confidence"), x["box"].alias("box"))))
+    parsed = F.filter(F.col(lines), lambda x: (trimmed(x["text"]) != "") & (F.size(x["box"]) > 0) & x["confidence"].isNotNull())
+    rows = reading_rows(F.transform(parsed, lambda x: F.struct(trimmed(x["text"]).alias("text"), x["confidence"].alias("confidence"), x["box"].alias("box"))))
     with_role = lambda row: F.transform(row, lambda x: F.struct(x["text"].alias("text"), x["confidence"].alias("confidence"), x["box"].alias("box"), row_role(row, F.col(width), F.col(tall), crop).alias("role")))
     out = frames.withColumn("_ordered", F.flatten(F.transform(rows, with_role)))
     out = out.withColumn("_spoken", F.filter("_ordered", lambda x: x["role"] != "speaker_hint"))
@@ -86,6 +86,13 @@ def candidate(frames: DataFrame, lines: str = "lines", width: str = "width", tal
     return out.withColumn(lines, F.col("_ordered")).drop("_ordered", "_spoken")
 
 
+def crop_box(width: Column, tall: Column, crop: tuple[float, float, float, float] = CROP) -> Column:
+    """struct(left, top, right, bottom): the part of a picture in pixels, halves to even."""
+    top, bottom, start, stop = crop
+    pixel = lambda size, share, name: F.rint(size * F.lit(share)).cast("int").alias(name)
+    return F.struct(pixel(width, start, "left"), pixel(tall, top, "top"), pixel(width, stop, "right"), pixel(tall, bottom, "bottom"))
+
+
 def best_pass(candidates: DataFrame, by: list[str], number: str = "pass_no") -> DataFrame:
     """The best of a frame's recognition passes; the earliest of equals."""
     rank = scoring.candidate_rank(F.col("text"), F.col("confidence"), F.col("quality"))

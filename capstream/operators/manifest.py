@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 import json
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from capstream.operators.geometry import CROP
@@ -17,7 +17,10 @@ REQUIRED_OUTPUTS = ("segments", "subtitle", "transcript", "ocr_status", "source_
 
 @dataclasses.dataclass(frozen=True)
 class Settings:
-    """What a run is done with; `force` and `keep_frames` don't change results, so fingerprints leave them out."""
+    """What a run is done with; `force` and `keep_frames` don't change results, so fingerprints leave them out.
+
+    Names and defaults are fixed values: they are part of every fingerprint.
+    """
 
     sample_interval_seconds: float = LEAST_INTERVAL
     start_time: float | None = None
@@ -34,13 +37,13 @@ class Settings:
     def __post_init__(self):
         top, bottom, left, right = self.crop
         wrong = {
-            f"sample interval must be at least {LEAST_INTERVAL:g} seconds": self.sample_interval_seconds < LEAST_INTERVAL,
-            "times must not be negative": min(self.start_time or 0, self.end_time or 0) < 0,
-            "end time must be greater than start time": None not in (self.start_time, self.end_time) and self.end_time <= self.start_time,
-            "crop must lie within 0..1": not (0 <= left < right <= 1 and 0 <= top < bottom <= 1),
-            "max frame width must be at least 640 pixels": self.max_frame_width < 640,
-            "thresholds must be inside 0..1": not (0 <= self.frame_similarity_threshold <= 1 and 0 <= self.adaptive_ocr_confidence <= 1),
-            "keep_frames must be none, changed or all": self.keep_frames not in ("none", "changed", "all"),
+            f"frames can't be sampled more often than every {LEAST_INTERVAL:g} s": self.sample_interval_seconds < LEAST_INTERVAL,
+            "a time before the video's beginning": min(self.start_time or 0, self.end_time or 0) < 0,
+            "nothing lies between start_time and end_time": None not in (self.start_time, self.end_time) and self.end_time <= self.start_time,
+            "crop is no part of the picture": not (0 <= left < right <= 1 and 0 <= top < bottom <= 1),
+            "frames narrower than 640 pixels can't be read": self.max_frame_width < 640,
+            "a threshold is not a share of one": not (0 <= self.frame_similarity_threshold <= 1 and 0 <= self.adaptive_ocr_confidence <= 1),
+            "keep_frames is one of none, changed, all": self.keep_frames not in ("none", "changed", "all"),
         }
         for message, is_wrong in wrong.items():
             if is_wrong:
@@ -93,6 +96,22 @@ def latest(manifests: DataFrame, by: str = "updated_at") -> DataFrame:
     return manifests.withColumn("_n", place).where("_n = 1").drop("_n")
 
 
+#: What is read of a manifest file; whatever else it holds is left alone.
+FIELDS = "schema_version int, pipeline_version string, status string, fingerprint string, input string, resolved_url string, video_id string, output_key string, updated_at timestamp"
+
+
+def read(spark: SparkSession, path: str, name: str = "manifest.json") -> DataFrame:
+    """path and FIELDS of the manifest files at any depth; a file that holds no JSON object has no row."""
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter=name)
+    rows = files.select(F.col("_metadata.file_path").alias("path"), F.from_json("value", FIELDS + ", _bad string", {"columnNameOfCorruptRecord": "_bad"}).alias("m"), "value")
+    return rows.where(F.col("m").isNotNull() & F.col("m._bad").isNull() & F.col("value").rlike(r"^\s*\{")).select("path", *[f"m.{f.split()[0]}" for f in FIELDS.split(", ")])
+
+
+def started(inputs: DataFrame, settings: Settings) -> DataFrame:
+    """Rows that say what is being worked on; a run that dies leaves them, and latest() then shows no success."""
+    return manifest_rows(inputs, settings, F.lit("running"))
+
+
 def manifest_rows(items: DataFrame, settings: Settings, status: Column) -> DataFrame:
     """Rows of the manifests table for items(raw_input, url, video_id, output_key, fingerprint, ...)."""
     return items.select(

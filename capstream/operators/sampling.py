@@ -62,6 +62,12 @@ def reuse(frames: DataFrame, key: str, order: str, words: str, threshold: float,
     return frames.select(key, order, words).groupBy(key).applyInPandas(fold, f"{key} {kinds[key]}, {order} {kinds[order]}, action string, source {kinds[order]}")
 
 
-def exact_reuse(frames: DataFrame, key: str, order: str, signature: str) -> DataFrame:
-    """frames with `source`: the first frame of the key with the same signature, found natively before any recognition."""
-    return frames.withColumn("source", F.first(order).over(Window.partitionBy(key, signature).orderBy(order)))
+def reuse_counts(reused: DataFrame, key: str) -> DataFrame:
+    """key, frames, calls, exact, near of what reuse() decided."""
+    kinds = [F.count_if(F.col("action") == a).alias(name) for a, name in (("call", "calls"), ("exact", "exact"), ("near", "near"))]
+    return reused.groupBy(key).agg(F.count("*").alias("frames"), *kinds)
+
+
+def exact_reuse(frames: DataFrame, key: str, order: str, signature: str, into: str = "used") -> DataFrame:
+    """frames with `into`: the first frame of the key with the same signature, found natively before any recognition."""
+    return frames.withColumn(into, F.first(order).over(Window.partitionBy(key, signature).orderBy(order)))

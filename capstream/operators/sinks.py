@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from capstream.functions.timecode import display_timestamp, srt_timestamp
+from capstream.functions.text import trimmed
+from capstream.functions.timecode import display_timestamp, fixed, srt_timestamp
 
 SOURCES = ("subtitle_track", "hard_subtitle_ocr")
 
@@ -38,7 +39,7 @@ def _document(segments: DataFrame, key: str, number: str, head: str, each: Colum
     rows = segments.select(key, F.col(number).alias("_n"), each.alias("_part"))
     parts = F.transform(F.array_sort(F.collect_list(F.struct("_n", "_part"))), lambda x: x["_part"])
     joined = rows.groupBy(key).agg(F.array_join(parts, separator).alias("_body"))
-    return joined.select(key, F.concat(F.regexp_replace(F.concat(F.lit(head), F.col("_body")), r"\s+$", ""), F.lit("\n")).alias("document"))
+    return joined.select(key, F.concat(F.regexp_replace(F.concat(F.lit(head), F.col("_body")), r"(?U)[\s\x1C-\x1F]+$", ""), F.lit("\n")).alias("document"))
 
 
 def srt(segments: DataFrame, key: str = "output_key", number: str = "segment_id") -> DataFrame:
@@ -49,13 +50,13 @@ def srt(segments: DataFrame, key: str = "output_key", number: str = "segment_id"
 
 def markdown(segments: DataFrame, key: str = "output_key", number: str = "segment_id") -> DataFrame:
     span = F.concat(F.lit("["), display_timestamp(F.col("start")), F.lit(" --> "), display_timestamp(F.col("end")), F.lit("]"))
-    note = F.format_string("<!-- source=%s; confidence=%.3f; reconstruction=%s -->", F.col("source"), F.col("confidence"), F.col("reconstruction"))
+    note = F.format_string("<!-- source=%s; confidence=%s; reconstruction=%s -->", F.col("source"), fixed(F.col("confidence"), 3), F.col("reconstruction"))
     return _document(segments, key, number, "# Transcript\n\n", F.concat_ws("\n", span, F.col("text"), note, F.lit("")), "\n")
 
 
 def plain_transcript(segments: DataFrame, source: str, key: str = "output_key", number: str = "segment_id") -> DataFrame:
     """The alternate, one line a segment, transcript."""
-    each = F.format_string("- %.1fs-%.1fs %s", F.col("start"), F.col("end"), F.col("text"))
+    each = F.format_string("- %ss-%ss %s", fixed(F.col("start"), 1), fixed(F.col("end"), 1), F.col("text"))
     rows = _document(segments, key, number, "", each, "\n")
     return rows.withColumn("document", F.concat(F.lit("# "), F.col(key).cast("string"), F.lit(f"\nSource: {source}\n\n"), F.col("document")))
 
@@ -95,8 +96,13 @@ def summary(items: DataFrame) -> DataFrame:
 
 def recognition_stats(samples: DataFrame, key: str = "output_key") -> DataFrame:
     """Per video: frames, calls, reuse, and mean confidence of what has text."""
-    said = F.when(F.trim("text") != "", F.col("confidence"))
+    said = F.when(trimmed(F.col("text")) != "", F.col("confidence"))
     return samples.groupBy(key).agg(
         F.count("*").alias("frame_count"), F.sum("ocr_calls").alias("ocr_call_count"), F.count_if("reused").alias("reused"),
         F.count(said).alias("with_text"), F.coalesce(F.avg(said), F.lit(0.0)).alias("average_confidence"),
     )
+
+
+def status_documents(stats: DataFrame, key: str = "output_key") -> DataFrame:
+    """key, document: every other column of a video's one row (of recognition_stats, assembly_stats) as a JSON object."""
+    return stats.select(key, F.to_json(F.struct(*[c for c in stats.columns if c != key]), {"ignoreNullFields": "false"}).alias("document"))

@@ -6,7 +6,6 @@ of captions, embeddings for signatures, events for frame times, pages for markup
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -66,6 +65,10 @@ def q_spaced(x: str) -> str:
     return f"trim(regexp_replace(coalesce({x}, ''), '{_WS}+', ' ', 'g'))"
 
 
+def q_trim(x: str) -> str:
+    return f"regexp_replace({x}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
 def q_key(x: str) -> str:
     return rf"replace(lower(regexp_replace(coalesce({x}, ''), '[^\p{{L}}\p{{N}}]+', '', 'g')), 'ß', 'ss')"
 
@@ -92,8 +95,8 @@ def q_stamp(x: str) -> str:
 def q_clean(x: str) -> str:
     y = f"replace(replace(coalesce({x}, ''), '\\N', chr(10)), '\\n', chr(10))"
     y = rf"regexp_replace(regexp_replace({y}, '\{{[^}}]*\}}', '', 'g'), '<[^>]+>', '', 'g')"
-    for pattern, plain in text.ENTITIES:
-        y = f"regexp_replace({y}, '{pattern}', '{plain.replace(chr(39), chr(39) * 2)}', 'g')"
+    for pattern, plain in (("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&#39;|&apos;", "\'\'"), ("&nbsp;?", chr(160)), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")):  # those of the tables
+        y = f"regexp_replace({y}, '{pattern}', '{plain}', 'g')"
     parts = rf"string_split_regex({y}, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]')"
     return f"array_to_string(list_filter(list_transform({parts}, lambda l: {q_spaced('l')}), lambda l: l != ''), chr(10))"
 
@@ -121,7 +124,7 @@ Q_CHOSEN = f"""ranked as (select *, {q_length("text")} as n, max(quality) over (
         case when {_CREDIBLE} then 0::double else n::double end desc, case when {_CREDIBLE} then quality else confidence end desc, time) as place from ranked) where place = 1)"""
 Q_SEGMENTS = f"""{Q_CHOSEN},
     spans as (select output_key, island, min(time) as start, max(time) + 3.0::double as stop, avg(confidence) as confidence, count(*) as n_samples from islands group by all),
-    segments as (select s.*, trim(best_text) as text from spans s join chosen using (output_key, island))"""
+    segments as (select s.*, {q_trim("best_text")} as text from spans s join chosen using (output_key, island))"""
 
 
 # --- text
@@ -129,10 +132,11 @@ Q_SEGMENTS = f"""{Q_CHOSEN},
 
 @query(f"select doc_id, length({q_compact('text')}) as n_compact, length({q_spaced('text')}) as n_spaced, length({q_key('text')}) as n_key, {q_length('text')}::bigint as n_meaningful, sha256({q_key('text')}) as key_sha256 from documents")
 def text_measures(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents")
     t = F.col("text")
     n = lambda c: F.length(c).cast("long")
-    return rows.select("doc_id", n(text.compact(t)).alias("n_compact"), n(text.spaced(t)).alias("n_spaced"), n(text.comparison_key(t)).alias("n_key"), text.meaningful_length(t).alias("n_meaningful"), F.sha2(text.comparison_key(t), 256).alias("key_sha256"))
+    key = F.transform(F.array(text.comparison_key(t)), lambda k: F.struct(n(k).alias("n_key"), F.sha2(k, 256).alias("key_sha256")))[0]  # made once
+    rows = table(spark, sf_dir, "documents").select("doc_id", n(text.compact(t)).alias("n_compact"), n(text.spaced(t)).alias("n_spaced"), text.meaningful_length(t).alias("n_meaningful"), key.alias("k"))
+    return rows.select("doc_id", "n_compact", "n_spaced", "k.n_key", "n_meaningful", "k.key_sha256")
 
 
 @query(f"select page_id, length({q_clean('html')}) as n_chars, sha256({q_clean('html')}) as text_sha256 from pages")
@@ -156,9 +160,9 @@ def title_extract(spark, sf_dir):
 @query(f"""with {Q_LINES}, p as (select output_key, pos, {q_spaced("text")} as r, lag({q_spaced("text")}) over (partition by output_key order by pos) as l from lines)
     select output_key, pos, coalesce(list_max(list_filter(range(1, 13), lambda n: n <= least(length(l), length(r)) and right(l, n) = left(r, n))), 0)::bigint as overlap from p where l is not null""")
 def overlap_pairs(spark, sf_dir):
-    before = F.lag("text").over(Window.partitionBy("output_key").orderBy("pos"))
-    rows = lines(spark, sf_dir).withColumn("before", before).where("before is not null")
-    return rows.select("output_key", "pos", text.overlap(F.col("before"), F.col("text")).alias("overlap"))
+    rows = lines(spark, sf_dir).select("output_key", "pos", text.spaced(F.col("text")).alias("own"))
+    rows = rows.withColumn("before", F.lag("own").over(Window.partitionBy("output_key").orderBy("pos"))).where("before is not null")
+    return rows.select("output_key", "pos", text.overlap_of(F.col("before"), F.col("own")).alias("overlap"))
 
 
 @query("select doc_id, list_unique(list_filter(string_split(text, chr(10)), lambda l: l != ''))::bigint as n_unique from documents")
@@ -190,8 +194,8 @@ def input_list(spark, sf_dir):
 @query(f"""with s as (select event_id, {q_stamp("value")} as stamp from events)
     select event_id, stamp, replace(stamp, ',', '.') as display, round(substr(stamp, 1, 2)::int * 3600 + substr(stamp, 4, 2)::int * 60 + replace(substr(stamp, 7), ',', '.')::double, 6) as seconds from s""")
 def timecode_roundtrip(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("event_id", timecode.srt_timestamp(F.col("value")).alias("stamp"))
-    return rows.select("event_id", "stamp", F.replace("stamp", F.lit(","), F.lit(".")).alias("display"), F.round(timecode.parse_timecode(F.col("stamp")), 6).alias("seconds"))
+    rows = table(spark, sf_dir, "events").select("event_id", "value", timecode.srt_timestamp(F.col("value")).alias("stamp"))
+    return rows.select("event_id", "stamp", timecode.display_timestamp(F.col("value")).alias("display"), F.round(timecode.parse_timecode(F.col("stamp")), 6).alias("seconds"))
 
 
 _CONFIG = '{"config":{"adaptive_ocr_confidence":0.78,"crop":{"bottom":0.94,"left":0.04,"right":0.96,"top":0.5},"enable_hardsub_ocr":true,"end_time":null,"frame_similarity_threshold":0.018,"max_frame_width":1280,"prefer_subtitle_track":true,"sample_interval_seconds":3.0,"start_time":null},"pipeline_version":"3.0.0","schema_version":3,"source_key":"'
@@ -221,15 +225,9 @@ def run_summary(spark, sf_dir):
 # --- scores
 
 
-@query(f"""select doc_id, round({q_quality("text", "c", "(doc_id % 3 + 1)")}, 6) as quality, ({q_length("text")} < 4 or c < 0.78 or {q_quality("text", "c", "(doc_id % 3 + 1)")} < 0.68) as enhance,
-    ({q_length("text")} <= 1 or c < 0.58 or {q_quality("text", "c", "(doc_id % 3 + 1)")} < 0.5) as binary_pass from (select doc_id, substr(text, 1, (doc_id % 30)::int) as text, (doc_id * 13 % 50 + 50) / 100 as c from documents)""")
+@query(f"""select doc_id, round({q_quality("text", "c", "(doc_id % 3 + 1)")}, 6) as quality, (coalesce(text, '') = '' or {q_length("text")} < 4 or c < 0.78 or {q_quality("text", "c", "(doc_id % 3 + 1)")} < 0.68) as enhance,
+    (coalesce(text, '') = '' or {q_length("text")} <= 1 or c < 0.58 or {q_quality("text", "c", "(doc_id % 3 + 1)")} < 0.5) as binary_pass from (select doc_id, text, (doc_id * 13 % 50 + 50) / 100 as c from documents)""")
 def quality_score(spark, sf_dir):
-    return _scored(table(spark, sf_dir, "documents").withColumn("text", F.col("text").substr(F.lit(1), (F.col("doc_id") % 30).cast("int"))))
-
-
-@query()
-def quality_score_whole(spark, sf_dir):
-    """As quality_score, whose SQL scores beginnings of captions' length, of whole texts."""
     return _scored(table(spark, sf_dir, "documents"))
 
 
@@ -241,8 +239,8 @@ def _scored(docs: DataFrame) -> DataFrame:
 
 @query(f"with {Q_LINES} select output_key, round(sum(confidence * greatest(1, {q_length('text')})) / sum(greatest(1, {q_length('text')})), 6) as confidence from lines group by output_key")
 def weighted_conf(spark, sf_dir):
-    rows = lines(spark, sf_dir).groupBy("output_key").agg(F.collect_list(F.struct("text", "confidence")).alias("lines"))
-    return rows.select("output_key", F.round(scoring.weighted_confidence(F.col("lines")), 6).alias("confidence"))
+    weight = scoring.weight(F.col("text"))  # over rows it is a plain ratio of sums, which is added up before the shuffle
+    return lines(spark, sf_dir).groupBy("output_key").agg(F.round(F.sum(F.col("confidence") * weight) / F.sum(weight), 6).alias("confidence"))
 
 
 @query(f"with {Q_LINES} select output_key, pos from lines where {q_length('text')} = 0 or ({q_length('text')} = 1 and confidence < 0.72)")
@@ -379,11 +377,6 @@ def otsu(spark, sf_dir):
     return geometry.otsu(bins.groupBy("event_type", "bin").agg(F.count("*").alias("count")), ["event_type"])
 
 
-def _signs(column: Column, n: int = 32) -> Column:
-    bits = F.transform(F.slice(column, 1, n), lambda x, i: F.when(x > 0, F.expr("1L")).otherwise(F.expr("0L")) * F.pow(F.lit(2.0), i).cast("long"))
-    return F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a + x)
-
-
 def _words(column: Column) -> Column:
     """Signs of all components, 64 to a word."""
 
@@ -412,30 +405,22 @@ def _with_before(rows: DataFrame, key: str, value: str) -> DataFrame:
     return both.withColumn("b", F.when(F.col("_place") == 1, F.col("_last")).otherwise(F.col("_own"))).drop("_block", "_of", "_place", "_own", "_last")
 
 
-_WORD = "list_sum(list_transform(range(0, 32), lambda i: case when embedding[i + 1] > 0 then (1::bigint << i) else 0 end))::bigint"
+_BITS = "list_transform(embedding, lambda x: (x > 0)::int)"
 
 
-@query(f"""with s as (select vec_id, {_WORD} as w from embeddings), p as (select vec_id, w, lag(w) over (order by vec_id) as b from s)
-    select vec_id, bit_count(xor(w, b))::double / 32 as distance, bit_count(xor(w, b))::double / 32 <= 0.375 as similar from p where b is not null""")
+@query(f"""with s as (select vec_id, {_BITS} as w from embeddings), p as (select vec_id, w, lag(w) over (order by vec_id) as b from s),
+    d as (select vec_id, list_sum(list_transform(range(1, len(w) + 1), lambda i: abs(w[i] - b[i])))::double / (ceil(len(w) / 64) * 64) as distance from p where b is not null)
+    select vec_id, distance, distance <= 0.375 as similar from d""")
 def hamming_neighbors(spark, sf_dir):
-    return _neighbors(table(spark, sf_dir, "embeddings").select("vec_id", F.array(_signs(F.col("embedding"))).alias("w")), 32)
-
-
-@query()
-def hamming_neighbors_whole(spark, sf_dir):
-    """As hamming_neighbors, whose SQL compares 32 components, over all components."""
-    return _neighbors(table(spark, sf_dir, "embeddings").select("vec_id", _words(F.col("embedding")).alias("w")), None)
-
-
-def _neighbors(rows: DataFrame, bits: int | None) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", _words(F.col("embedding")).alias("w"))
     both = _with_before(rows, "vec_id", "w").where("b is not null")
-    return both.select("vec_id", signature.distance(F.col("b"), F.col("w"), bits).alias("distance"), signature.similar(F.col("b"), F.col("w"), 0.375, bits).alias("similar"))
+    return both.select("vec_id", signature.distance(F.col("b"), F.col("w")).alias("distance"), signature.similar(F.col("b"), F.col("w"), 0.375).alias("similar"))
 
 
 @query("select doc_id, first_value(doc_id) over (partition by source, md5(text) order by doc_id) as used from documents")
 def exact_reuse(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("source", "doc_id", F.md5("text").alias("code"))
-    return sampling.exact_reuse(rows, "source", "doc_id", "code").select("doc_id", F.col("source").alias("_s"), "source").select("doc_id", F.col("source").alias("used"))
+    return sampling.exact_reuse(rows, "source", "doc_id", "code").select("doc_id", "used")
 
 
 @query()
@@ -533,9 +518,7 @@ def stream_counts(spark, sf_dir):
 
 
 def _streamed(spark: SparkSession, sf_dir: str, plan: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
-    name = f"stream_{uuid.uuid4().hex}"
-    schema = table(spark, sf_dir, "events").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet" if not sf_dir.startswith("viewfs") else "*").parquet(sf_dir)
-    return streaming.drained(plan(rows.withColumn("ts", F.col("ts").cast("timestamp"))), name, mode)
-
-
+    """What a stream over the table yields, written as Parquet to the shared folder."""
+    path = f"{sf_dir}/events.parquet"
+    rows = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(path)
+    return streaming.drained(plan(rows.withColumn("ts", F.col("ts").cast("timestamp"))), mode)

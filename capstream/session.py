@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -20,3 +21,11 @@ def share_package(spark: SparkSession) -> SparkSession:
     if ROOT not in known:
         env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; where a session on this machine alone names none, a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return named or tempfile.mkdtemp(prefix="capstream-")

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from capstream.functions import scoring
+from capstream.operators.geometry import best_pass, candidate
 from capstream.sources.subtitles import suffix
 
 # Containers that count as video.
@@ -72,14 +74,64 @@ class Engine(Protocol):
     def recognize(self, image: bytes) -> list: ...
 
 
-def recognised(images: DataFrame, key: str, order: str, make_engine: Callable[[], Engine], content: str = "content") -> DataFrame:
-    """key, order, lines of every picture; one engine for each task, pictures in Arrow batches."""
+def lines_of(raw: object) -> list[tuple[object, object, object]]:
+    """(box, text, score) of what an engine returned: an object with boxes, txts and scores, three equally long
+    columns, rows, or a tuple that begins with any of these but the first; nothing for None."""
+    plain = lambda x: isinstance(x, (list, tuple))
+    names = ("boxes", "txts", "scores")
+    if all(hasattr(raw, n) for n in names):
+        columns = [getattr(raw, n) for n in names]
+        return _zipped([[] if c is None else list(c) for c in columns])
+    body = raw[0] if isinstance(raw, tuple) and raw else raw
+    if not plain(body):
+        return []
+    columnar = len(body) == 3 and all(plain(x) for x in body) and len({len(x) for x in body}) == 1
+    return _zipped(body) if columnar else [tuple(row) for row in body]
+
+
+def _zipped(columns: list) -> list[tuple[object, object, object]]:
+    return [(box.tolist() if hasattr(box, "tolist") else box, text, score) for box, text, score in zip(*columns, strict=False)]
+
+
+_LINES = "lines array<struct<text:string,confidence:double,box:array<array<double>>>>"
+
+
+def recognised(images: DataFrame, key: str, order: str, make_engine: Callable[[], Engine], content: str = "content", prepare: Callable[[bytes], bytes] | None = None) -> DataFrame:
+    """key, order, lines of every picture, `prepare`d if asked; one engine for each task, pictures in Arrow batches."""
     kinds = dict(images.dtypes)
 
+    def read(engine: Engine, data: bytes) -> list[dict]:
+        found = lines_of(engine.recognize(prepare(data) if prepare else data))
+        return [{"text": str(t), "confidence": float(c), "box": [[float(x), float(y)] for x, y in box]} for box, t, c in found]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         engine = make_engine()
         for batch in batches:
-            lines = [[{"text": str(t), "confidence": float(c), "box": [[float(x), float(y)] for x, y in box]} for box, t, c in engine.recognize(bytes(data))] for data in batch[content]]
-            yield pd.DataFrame({key: batch[key], order: batch[order], "lines": lines})
-
-    return images.select(key, order, content).mapInPandas(run, f"{key} {kinds[key]}, {order} {kinds[order]}, lines array<struct<text:string,confidence:double,box:array<array<double>>>>")
+            yield pd.DataFrame({key: batch[key], order: batch[order], "lines": [read(engine, bytes(data)) for data in batch[content]]})
+
+    return images.select(key, order, content).mapInPandas(run, f"{key} {kinds[key]}, {order} {kinds[order]}, {_LINES}")
+
+
+def recognised_adaptively(
+    images: DataFrame, key: str, order: str, make_engine: Callable[[], Engine], enhance: Callable[[bytes], bytes], binary: Callable[[bytes], bytes],
+    threshold: float = 0.78, content: str = "content",
+) -> DataFrame:
+    """key, order, lines, text, confidence, quality, variant, ocr_calls from images(key, order, content, width, height).
+
+    Each pass sees only the pictures that need it: the second those read badly at first, the third those
+    whose best reading so far is still poor. Passes are rows, and the best row of a picture wins, the earlier of equals.
+    """
+    by = [key, order]
+
+    def passed(some: DataFrame, number: int, variant: str, prepare: Callable[[bytes], bytes] | None) -> DataFrame:
+        sizes = some.select(*by, "width", "height")
+        rows = candidate(recognised(some, key, order, make_engine, content, prepare).join(sizes, by))
+        return rows.drop("width", "height").withColumns({"pass_no": F.lit(number), "variant": F.lit(variant)})
+
+    value = [F.col("text"), F.col("confidence"), F.col("quality")]
+    rows = passed(images, 1, "base", None)
+    rows = rows.unionByName(passed(images.join(rows.where(scoring.needs_enhancement(*value, threshold)), by, "left_semi"), 2, "enhanced", enhance))
+    poor = best_pass(rows, by).where(scoring.needs_binary_pass(*value))
+    rows = rows.unionByName(passed(images.join(poor, by, "left_semi"), 3, "binary", binary))
+    calls = rows.groupBy(*by).agg(F.count("*").cast("int").alias("ocr_calls"))
+    return best_pass(rows, by).drop("pass_no").join(calls, by)

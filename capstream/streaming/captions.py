@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.session import share_package
+from capstream.session import share_package, shared_folder
 
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
@@ -47,13 +48,25 @@ def throttled(events: DataFrame, key: str, interval: float) -> DataFrame:
     return timed.groupBy(key).applyInPandasWithState(step, f"{key} {kinds[key]}, time double", "last double", "append", "NoTimeout")
 
 
-def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """All that a stream yields from what is there now, by way of a table in memory (for tests and small results)."""
-    query = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return stream.sparkSession.table(name)
+def drained(stream: DataFrame, mode: str = "append", path: str | None = None) -> DataFrame:
+    """All that a stream yields from what is there now, by way of Parquet files in `path` or the shared folder.
+
+    With mode complete every batch replaces what the one before wrote; append writes each row once.
+    """
+    spark = stream.sparkSession
+    home = path or f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    schema = stream.schema
+
+    def whole(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{home}/rows")
+
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{home}/state").trigger(availableNow=True)
+    writer = writer.foreachBatch(whole) if mode == "complete" else writer.format("parquet").option("path", f"{home}/rows")
+    writer.start().awaitTermination()
+    return spark.read.schema(schema).parquet(f"{home}/rows")
 
 
-def append_segments(stream: DataFrame, path: str, checkpoint: str, key: str = "output_key"):
-    """Start appending segments to Parquet, each batch once."""
-    return stream.writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy(key).start(path)
+def append_segments(stream: DataFrame, path: str, checkpoint: str, key: str = "output_key", buckets: int = 64):
+    """Start appending segments to Parquet, each batch once, in folders of hashed keys, so that their number is bounded."""
+    rows = stream.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    return rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).partitionBy("bucket").start(path)

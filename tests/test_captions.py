@@ -1,140 +1,178 @@
-"""Grouping, choosing, joining and clipping, on the cases that the design was made for."""
+"""Grouping, choosing, joining and clipping: examples of each rule, and the whole of it against a plain model."""
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
+import random
 
 import pytest
-from capstream.functions import scoring, text
+from capstream.functions import scoring, similarity, text
 from capstream.operators import captions
 from pyspark.sql import functions as F
 
+from tests import model
+
 COLUMNS = "output_key string, time double, text string, confidence double, quality double"
 
 
-def samples(spark, *rows):
-    return spark.createDataFrame([("v", float(t), x, *(rest or (0.9, 0.85))) for t, x, *rest in rows], COLUMNS)
+def samples(spark, rows, video="film"):
+    return spark.createDataFrame([(video, float(t), x, c, q) for t, x, c, q in rows], COLUMNS)
+
+
+def made(spark, rows, **kw):
+    found = captions.assemble(samples(spark, rows), **kw).orderBy("segment_id").collect()
+    return [(r.start, r.end, r.text, r.reconstruction) for r in found]
+
+
+def test_a_caption_that_is_typed_out_becomes_one_segment(spark):
+    rows = [(30, "Der Zug", 0.95, 0.8), (33, "Der Zug nach Norden", 0.9, 0.82), (36, "Der Zug nach Norden fährt", 0.7, 0.75), (39, "", 0.0, 0.0)]
+    assert made(spark, rows) == [(30.0, 39.0, "Der Zug nach Norden fährt", "temporal_consensus")]
+    assert captions.assemble(samples(spark, rows)).first().alternatives == ["Der Zug", "Der Zug nach Norden"]
+
+
+def test_a_longer_text_that_is_not_credible_loses(spark):
+    rows = [(0, "harbour lights", 0.9, 0.85), (3, "harbour lights l", 0.5, 0.84), (6, "harbour lights lo", 0.9, 0.6)]
+    assert [x[2] for x in made(spark, rows)] == ["harbour lights"]
+
+
+def test_a_rolling_caption_is_joined_once(spark):
+    rows = [(9, "we walked along the ri", 0.9, 0.8), (12, "the river until dawn", 0.8, 0.8), (15, "nobody came", 0.8, 0.8)]
+    assert made(spark, rows) == [(9.0, 15.0, "we walked along the river until dawn", "overlap_join"), (15.0, 18.0, "nobody came", "direct_ocr")]
+
+
+def test_what_keeps_neighbours_apart(spark):
+    ended = [(0, "that is that.", 0.9, 0.8), (3, "that. was all", 0.9, 0.8)]
+    distant = [(0, "one two thr", 0.9, 0.8), (9, "two three", 0.9, 0.8)]
+    one_letter = [(0, "blue moon", 0.9, 0.8), (3, "night sky", 0.9, 0.8)]
+    for rows in (ended, distant, one_letter):
+        assert len(made(spark, rows)) == 2
+
+
+def test_white_space_of_any_kind_is_trimmed(spark):
+    assert [x[2] for x in made(spark, [(0, "　wide blank ", 0.9, 0.8)])] == ["wide blank"]
+
+
+def test_single_characters(spark):
+    for confidence, kept in ((0.71, []), (0.72, ["Q"])):
+        assert [x[2] for x in made(spark, [(0, "Q", confidence, 0.4)])] == kept
+    stats = captions.assembly_stats(samples(spark, [(0, "Q", 0.3, 0.1), (3, "whole line", 0.9, 0.9)])).first()
+    assert (stats.dropped_low_confidence_fragments, stats.overlap_joins, stats.input_samples) == (1, 0, 2)
+
+
+def test_an_unreadable_frame_ends_a_group(spark):
+    rows = [(0, "twice said", 0.9, 0.8), (3, "[unable to recognize]", 0.1, 0.1), (6, "twice said", 0.9, 0.8)]
+    assert sorted(r.island for r in captions.islands(samples(spark, rows)).collect()) == [1, 2]
+
+
+def test_ends_within_the_timeline(spark):
+    found = captions.assemble(samples(spark, [(20, "nearly over", 0.9, 0.8), (50, "never shown", 0.9, 0.8)]))
+    assert [(r.start, r.end) for r in captions.clamp(found, F.lit(21.5)).collect()] == [(20.0, 21.5)]
 
 
-def texts(df):
-    return [r.text for r in df.orderBy("start").collect()]
+def test_close_texts_share_a_group_by_ratio_only(spark):
+    rows = [(0, "the lighthouse keeper sleeps", 0.9, 0.8), (3, "the lighthouse keener sleeps", 0.9, 0.8)]
+    assert len({r.island for r in captions.islands(samples(spark, rows)).collect()}) == 1
+    assert len({r.island for r in captions.islands(samples(spark, rows), fuzzy=False).collect()}) == 2
 
 
-def test_growing_caption_gives_the_longer_text(spark):
-    rows = captions.assemble(samples(spark, (0, "I want", 0.98, 0.90), (3, "I want to tell you", 0.84, 0.82))).collect()
-    assert [(r.text, r.reconstruction, r.start, r.end) for r in rows] == [("I want to tell you", "temporal_consensus", 0.0, 6.0)]
-    assert rows[0].alternatives == ["I want"]
+WORDS = "lamp river stone cloud garden window paper song winter road bridge corner".split()
 
 
-def test_overlapping_ends_are_joined(spark):
-    rows = captions.assemble(samples(spark, (0, "abcdef"), (3, "defghij"))).collect()
-    assert [(r.text, r.reconstruction, r.alternatives) for r in rows] == [("abcdefghij", "overlap_join", ["abcdef", "defghij"])]
-    stats = captions.assembly_stats(samples(spark, (0, "abcdef"), (3, "defghij"))).first()
-    assert (stats.input_samples, stats.readable_samples, stats.overlap_joins) == (2, 2, 1)
+def noisy(rng, n):
+    """Samples of captions that are typed out, misread, rolled, blank or ended by punctuation."""
+    out, said = [], ""
+    for k in range(n):
+        p = rng.random()
+        if p < 0.25 or not said:
+            said = " ".join(rng.choice(WORDS) for _ in range(rng.randint(1, 6)))
+        elif p < 0.4:
+            said = said[-rng.randint(2, 9) :] + rng.choice(["", " "]) + rng.choice(WORDS)
+        elif p < 0.5:
+            said += rng.choice([".", "!", " " + rng.choice(WORDS)])
+        shown = said if rng.random() < 0.7 else "".join(c if rng.random() > 0.06 else rng.choice("xqz") for c in said)
+        shown = rng.choice(["", " ", "[unrecognized]", "x", "　"]) if rng.random() < 0.08 else shown
+        out.append((3.0 * k, shown, rng.choice([0.4, 0.6, 0.75, 0.9]), rng.choice([0.3, 0.5, 0.7, 0.72, 0.9])))
+    return out
 
 
-def test_unrelated_and_long_suffixes_stay_apart(spark):
-    assert texts(captions.assemble(samples(spark, (0, "first line"), (3, "second line")))) == ["first line", "second line"]
-    lines = [f"{w} COMPLETE SENTENCE" for w in ("FIRST", "SECOND", "FINAL")]
-    assert texts(captions.assemble(samples(spark, *[(3 * i, x) for i, x in enumerate(lines)]))) == lines
+@pytest.mark.parametrize(("fuzzy", "support"), [(True, True), (False, False)])
+def test_assembly_against_the_model(spark, fuzzy, support):
+    rng = random.Random(21)
+    videos = {f"v{i}": noisy(rng, 60) for i in range(25)}
+    df = spark.createDataFrame([(v, *s) for v, rows in videos.items() for s in rows], COLUMNS)
+    got, stats = {}, {r.output_key: tuple(r)[1:] for r in captions.assembly_stats(df, fuzzy=fuzzy, support=support).collect()}
+    for r in captions.assemble(df, fuzzy=fuzzy, support=support).orderBy("output_key", "segment_id").collect():
+        got.setdefault(r.output_key, []).append((r.start, r.end, r.text, round(r.confidence, 9), r.sample_times, r.reconstruction, r.alternatives))
+    joins = 0
+    for v, rows in videos.items():
+        want, counts = model.assembled(rows, fuzzy, support)
+        assert got[v] == [(s["start"], s["end"], s["text"], round(s["confidence"], 9), s["times"], s["how"], s["others"]) for s in want]
+        assert dict(zip(("input_samples", "readable_samples", "temporal_consensus_groups", "overlap_joins", "dropped_low_confidence_fragments"), counts, strict=True)) == {
+            k: x for k, x in zip([c for c in captions.assembly_stats(df, fuzzy=fuzzy, support=support).columns if c != "output_key"], stats[v], strict=True)
+        } if v == "v0" else sorted(stats[v]) == sorted(counts)
+        joins += counts[3]
+    assert joins > 20
 
 
-def test_noise_goes_and_a_sure_character_stays(spark):
-    assert texts(captions.assemble(samples(spark, (0, "x", 0.4, 0.2)))) == []
-    assert texts(captions.assemble(samples(spark, (0, "x", 0.95, 0.8)))) == ["x"]
-    assert captions.assembly_stats(samples(spark, (0, "x", 0.4, 0.2))).first().dropped_low_confidence_fragments == 1
+def test_a_joined_short_middle_reaches_further_back(spark):
+    """What is merged so far ends in more than the short middle segment, so runs are not cut behind it."""
+    rows = [(0, "morning ha", 0.9, 0.8), (3, "haze", 0.9, 0.8), (6, "g haze lifts", 0.9, 0.8)]
+    want, _ = model.assembled([(float(t), *x) for t, *x in rows])
+    assert [x[2] for x in made(spark, rows)] == [s["text"] for s in want] == ["morning haze lifts"]
 
 
-def test_unreadable_sample_ends_the_group(spark):
-    rows = captions.islands(samples(spark, (0, "same text"), (3, " [unrecognized] "), (6, "same text"))).collect()
-    assert sorted(r.island for r in rows) == [1, 2]
+@pytest.mark.parametrize(("raw", "want"), [("  zwei\t\u001dWorte ", "zwei Worte"), (None, ""), ("a  b", "a b")])
+def test_blanks_are_collapsed(spark, raw, want):
+    assert spark.createDataFrame([(raw,)], "t string").select(text.spaced(F.col("t"))).first()[0] == want
 
 
-def test_clamp(spark):
-    rows = captions.clamp(captions.assemble(samples(spark, (6, "last line"))), F.lit(8.0)).collect()
-    assert [r.end for r in rows] == [8.0]
+def test_entities_named_and_numbered(spark):
+    raw = "caf&eacute; &#8217;&#x41;&hearts; &amp;lt; &notanentity; <b>x</b>{pos}"
+    assert spark.createDataFrame([(raw,), ("no sign",), (None,)], "t string").select(text.clean_markup(F.col("t"))).collect() == [("café ’A♥ &lt; ¬anentity; x",), ("no sign",), ("",)]
 
 
-def test_similar_captions_share_a_group(spark):
-    a, b = "the quick brown fox jumps", "the quick brawn fox jumps"
-    assert SequenceMatcher(None, a.replace(" ", ""), b.replace(" ", "")).ratio() >= 0.88
-    assert captions.islands(samples(spark, (0, a), (3, b))).select("island").distinct().count() == 1
-    assert captions.islands(samples(spark, (0, a), (3, b)), fuzzy=False).select("island").distinct().count() == 2
+def test_overlaps_against_slices(spark):
+    rng = random.Random(2)
+    pairs = [("".join(rng.choice("ab ") for _ in range(rng.randint(0, 20))), "".join(rng.choice("ab ") for _ in range(rng.randint(0, 20)))) for _ in range(300)]
+    got = spark.createDataFrame(pairs, "l string, r string").select("l", "r", text.overlap(F.col("l"), F.col("r")).alias("n")).collect()
+    assert all(r.n == model.common(" ".join(r.l.split()), " ".join(r.r.split())) for r in got)
 
 
-def test_chain_of_joins_against_a_plain_fold(spark):
-    parts = ["one two thr", "two three fo", "three four five.", "five. six", "unrelated"]
-    done = []
-    for i, x in enumerate(parts):
-        n = next((n for n in range(12, 1, -1) if done and n <= min(len(done[-1]), len(x)) and done[-1][-n:] == x[:n]), 0)
-        if n and not done[-1].endswith("."):
-            done[-1] += x[n:]
-        else:
-            done.append(x)
-    rows = captions.join_overlaps(
-        captions.segments(captions.islands(samples(spark, *[(3 * i, x) for i, x in enumerate(parts)]), fuzzy=False), support=False).drop("island")
-    )
-    assert texts(rows) == done
+def test_measures_against_the_model(spark):
+    raw = ["Größe 12, 光る!", "ﬀ_x", "İstanbul"[1:], "", None, "・・a", "ｱ１"]
+    for r in spark.createDataFrame([(x,) for x in raw], "t string").select("t", text.comparison_key(F.col("t")).alias("k"), text.meaningful_length(F.col("t")).alias("n")).collect():
+        assert (r.k, r.n) == (model.key_of(r.t), model.length(r.t))
 
 
-@pytest.mark.parametrize(("value", "want"), [(" ﬁne\u001cx ", "ﬁne x"), (None, ""), ("a  b", "a b")])
-def test_spaced(spark, value, want):
-    assert spark.createDataFrame([(value,)], "t string").select(text.spaced(F.col("t"))).first()[0] == want
+def test_support_is_a_mean_over_all_members_in_order(spark):
+    df = spark.createDataFrame([(["kite", "kits"], ["kite", "kits", "kite"]), (None, None)], "k array<string>, m array<string>")
+    got = [r[0] for r in df.select(similarity.mean_ratios(F.col("k"), F.col("m"))).collect()]
+    assert got == [[pytest.approx((1 + 0.75 + 1) / 3), pytest.approx((0.75 + 1 + 0.75) / 3)], None]
 
 
-def test_key_and_lengths(spark):
-    row = spark.createDataFrame([("Straße_ 12, 漢字 é!",)], "t string").select(text.comparison_key(F.col("t")), text.meaningful_length(F.col("t"))).first()
-    assert tuple(row) == ("strasse12漢字é", 9)
+def test_confidence_and_quality(spark):
+    kind = "l array<struct<text:string,confidence:double>>"
+    df = spark.createDataFrame([([("seven77", 0.2), ("", 1.0)],), ([],)], kind)
+    assert [r[0] for r in df.select(scoring.weighted_confidence(F.col("l"))).collect()] == [pytest.approx((7 * 0.2 + 1) / 8), 0.0]
+    row = df.select(scoring.quality(F.lit("ab"), F.lit(0.5), F.lit(4)), scoring.quality(F.lit("?"), F.lit(1.0), F.lit(1))).first()
+    assert tuple(row) == (pytest.approx(0.36 + 0.23 * 1.584962500721156 / 4 + 0.05 - 0.06), 0.0)
 
 
-def test_weighted_confidence_and_quality(spark):
-    df = spark.createDataFrame([([("abcd", 0.5), ("é", 1.0)],), ([],)], "l array<struct<text:string,confidence:double>>")
-    assert [r[0] for r in df.select(scoring.weighted_confidence(F.col("l"))).collect()] == [pytest.approx(0.6), 0.0]
-    q = df.select(scoring.quality(F.lit("x"), F.lit(1.0), F.lit(1)), scoring.quality(F.lit(""), F.lit(1.0), F.lit(1))).first()
-    assert tuple(q) == (pytest.approx(0.72 + 0.23 / 4 + 0.025 - 0.22), 0.0)
+def test_samples_of_raw_lines_end_to_end(spark):
+    kind = "output_key string, time double, lines array<struct<text:string,confidence:double,role:string>>"
+    frames = [("v", 0.0, [("MARA", 0.99, "speaker_hint"), ("Come", 0.9, "dialogue"), ("closer", 0.8, "dialogue")]), ("v", 3.0, [("Come closer now", 0.7, None)]), ("v", 6.0, [("ANN", 0.9, "speaker_hint")])]
+    rows = captions.samples_from_lines(spark.createDataFrame(frames, kind))
+    assert [(r.text, r.confidence) for r in rows.orderBy("time").collect()] == [("Come closer", pytest.approx((4 * 0.9 + 6 * 0.8) / 10)), ("Come closer now", pytest.approx(0.7)), ("", 0.0)]
+    assert [(r.start, r.end, r.text) for r in captions.assemble(rows).collect()] == [(0.0, 6.0, "Come closer now")]
 
 
 def test_frames_worth_keeping(spark):
-    rows = captions.frames_to_keep(samples(spark, (0, ""), (3, ""), (6, "hello"), (9, "hello"), (12, "hello", 0.5, 0.5))).orderBy("time").collect()
-    assert [r.keep for r in rows] == [True, False, True, False, True]
-    assert captions.frames_to_keep(samples(spark, (0, "a")), mode="none").first().keep is False
-
-
-def test_stats_count_the_joins_of_assemble_where_support_decides(spark):
-    a, b = "abcdefghijk lmnox", "abcdefghijk lmnop"  # equally long; b is the better supported, a of better quality
-    df = samples(spark, (0, a, 0.9, 0.9), (3, b), (6, b), (9, "lmnop something else"))
-    assert [r.reconstruction for r in captions.assemble(df).collect()] == ["overlap_join"]
-    assert captions.assembly_stats(df).first().overlap_joins == 1
-
-
-def test_frames_to_keep_by_the_whole_rule(spark, tmp_path):
-    from capstream.plans import catalogue
-
-    said = ["the quick brown fox jumps", "the quick brawn fox jumps", "something else", "", " ", "shorts", "shirts", "shirts and more"]
-    turns = [(1, i, "user", x) for i, x in enumerate(said)]
-    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    docs = [(1, "\n".join(said), "en", "s", 0)]
-    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    rows = catalogue.lines(spark, str(tmp_path)).collect()
-    want = {}
-    for key in {r.output_key for r in rows}:
-        before = None
-        for r in sorted((r for r in rows if r.output_key == key), key=lambda r: r.time):
-            k, blank = text_key(spark, r.text), not (r.text or "").strip()
-            if before is None:
-                keep = True
-            elif blank and before[1]:
-                keep = False
-            else:
-                p = before[0]
-                same = bool(p and k) and (p == k or p in k or k in p or SequenceMatcher(None, p, k).ratio() >= (0.88 if min(len(p), len(k)) >= 8 else 0.92))
-                keep = not same or r.confidence < 0.65
-            want[key, r.pos] = keep
-            before = k, blank
-    got = {(r.output_key, r.pos): r.keep for r in catalogue.frame_keep_fuzzy(spark, str(tmp_path)).collect()}
-    exact = {(r.output_key, r.pos): r.keep for r in catalogue.frame_keep(spark, str(tmp_path)).collect()}
-    assert got == want and got != exact
-
-
-def text_key(spark, value):
-    return spark.createDataFrame([(value,)], "t string").select(text.comparison_key(F.col("t"))).first()[0]
+    rng = random.Random(4)
+    rows = noisy(rng, 200)
+    got = {r.time: r.keep for r in captions.frames_to_keep(samples(spark, rows)).collect()}
+    before = None
+    for t, shown, confidence, _ in rows:
+        own, blank = model.key_of(shown), not (shown or "").strip()
+        keep = True if before is None else False if blank and before[1] else not model.alike(before[0], own) or confidence < 0.65
+        assert got[t] == keep
+        before = own, blank
+    assert not any(r.keep for r in captions.frames_to_keep(samples(spark, rows), mode="none").collect())

@@ -56,6 +56,6 @@ def test_a_run_prefers_tracks_skips_what_is_done_and_isolates_errors(spark, tmp_
 def test_throttled_stream_agrees_with_the_batch(spark, tmp_path):
     spark.read.parquet(f"{SF}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events"))
     stream = streaming.event_stream(spark, str(tmp_path / "events"), files_per_trigger=10)
-    got = {(r.user_id, r.time) for r in streaming.drained(streaming.throttled(stream, "user_id", 86400.0), "throttled").collect()}
+    got = {(r.user_id, r.time) for r in streaming.drained(streaming.throttled(stream, "user_id", 86400.0)).collect()}
     want = {(r.user_id, r.time) for r in catalogue.throttle_sample(spark, SF).collect()}
     assert got == want
