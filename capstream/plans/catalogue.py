@@ -301,15 +301,32 @@ def alternatives(spark, sf_dir):
     return found.select("output_key", "island", F.array_join("alternatives", "|").alias("alternatives"), F.size("alternatives").cast("long").alias("n"))
 
 
-@query()
+_GONE = f"({q_length('text')} = 0 or ({q_length('text')} = 1 and confidence < 0.72))"
+
+
+def q_fold() -> str:
+    """The joins one after another: parts, then done(output_key, segment_id, start, stop, text, how, mean, n)."""
+    n = "coalesce(list_max(list_filter(range(1, 13), lambda i: i <= least(length(l), length(r)) and right(l, i) = left(r, i))), 0)"
+    return f"""parts as (select output_key, row_number() over (partition by output_key order by start) as nr, start, stop, text, confidence, n_samples,
+        case when n_samples > 1 then 'temporal_consensus' else 'direct_ocr' end as how from segments where not {_GONE}),
+    fold as (select output_key, nr, 1::bigint as segment_id, start, stop, text, how, confidence as mean, n_samples as n from parts where nr = 1
+        union all select output_key, nr, segment_id + (not fits)::bigint, case when fits then l_start else start end, stop, case when fits then merged else text end,
+               case when fits then 'overlap_join' else how end, case when fits then (l_mean * l_n + confidence * n_samples) / (l_n + n_samples) else confidence end, case when fits then l_n + n_samples else n_samples end
+        from (select *, coalesce(start - l_stop <= 1.5::double and not regexp_matches(regexp_replace(l_text, '{_WS}+$', ''), '[.!?。！？…]$') and i >= 2 and merged not in (l, r), false) as fits
+              from (select *, l || substr(r, i + 1) as merged from (select *, {n} as i from (
+                    select p.*, f.segment_id, f.start as l_start, f.stop as l_stop, f.text as l_text, f.mean as l_mean, f.n as l_n, {q_spaced("f.text")} as l, {q_spaced("p.text")} as r
+                    from fold f join parts p on p.output_key = f.output_key and p.nr = f.nr + 1))))),
+    done as (select output_key, segment_id, min(start) as start, arg_max(stop, nr) as stop, arg_max(text, nr) as text, arg_max(how, nr) as how, arg_max(mean, nr) as mean, arg_max(n, nr) as n from fold group by output_key, segment_id)"""
+
+
+
+
+@query(f"""with recursive {Q_LINES}, {q_islands("lines")}, {Q_SEGMENTS}, {q_fold()} select output_key, segment_id, start, stop as "end", text, how as reconstruction from done""")
 def overlap_fold(spark, sf_dir):
     kept = captions.without_fragments(captions.segments(captions.islands(lines(spark, sf_dir), fuzzy=False), support=False))
     return captions.join_overlaps(kept).select("output_key", "segment_id", "start", "end", "text", "reconstruction")
 
 
-_GONE = f"({q_length('text')} = 0 or ({q_length('text')} = 1 and confidence < 0.72))"
-
-
 @query(f"with {Q_LINES}, {q_islands('lines')}, {Q_SEGMENTS} select output_key, start, least(stop, lead(start) over (partition by output_key order by start)) as stop, text from segments where not {_GONE}")
 def end_clip(spark, sf_dir):
     found = captions.without_fragments(captions.segments(captions.islands(lines(spark, sf_dir), fuzzy=False), support=False))
@@ -337,6 +354,24 @@ def assembly(spark, sf_dir):
     return captions.assemble(lines(spark, sf_dir)).select("output_key", "segment_id", "start", "end", "text", F.round("confidence", 6).alias("confidence"), "reconstruction")
 
 
+@query(f"""with recursive {Q_LINES}, {q_islands("lines")}, {Q_SEGMENTS}, {q_fold()}
+    select output_key, segment_id, start, least(stop, lead(start) over (partition by output_key order by start)) as "end", text, round(mean, 6) as confidence, how as reconstruction from done""")
+def assembly_plain(spark, sf_dir):
+    """As assembly, but for what SQL has no words for: groups by equality and containment, candidates without support."""
+    found = captions.assemble(lines(spark, sf_dir), fuzzy=False, support=False)
+    return found.select("output_key", "segment_id", "start", "end", "text", F.round("confidence", 6).alias("confidence"), "reconstruction")
+
+
+@query(f"""with recursive {Q_LINES}, {q_islands("lines")}, {Q_SEGMENTS}, {q_fold()},
+    seen as (select output_key, count(*) as input_samples, count(*) filter ({q_readable("text")}) as readable_samples from lines group by output_key),
+    made as (select output_key, count(*) filter (not {_GONE} and n_samples > 1) as groups, count(*) filter (not {_GONE}) as kept, count(*) filter ({_GONE}) as gone from segments group by output_key),
+    last as (select output_key, count(*) as n from done group by output_key)
+    select output_key, input_samples, readable_samples, coalesce(groups, 0) as temporal_consensus_groups, coalesce(kept, 0) - coalesce(n, 0) as overlap_joins, coalesce(gone, 0) as dropped_low_confidence_fragments
+    from seen left join made using (output_key) left join last using (output_key)""")
+def assembly_stats_plain(spark, sf_dir):
+    return captions.assembly_stats(lines(spark, sf_dir), fuzzy=False, support=False)
+
+
 @query()
 def assembly_stats(spark, sf_dir):
     return captions.assembly_stats(lines(spark, sf_dir))
@@ -423,7 +458,13 @@ def exact_reuse(spark, sf_dir):
     return sampling.exact_reuse(rows, "source", "doc_id", "code").select("doc_id", "used")
 
 
-@query()
+@query(f"""with recursive s as (select label as video, vec_id, list_aggregate({_BITS}, 'string_agg', '') as w, row_number() over (partition by label order by vec_id) as nr from embeddings),
+    r as (select video, vec_id, nr, 'call' as action, vec_id as source, [w] as codes, [vec_id] as firsts, w as before from s where nr = 1
+        union all select video, vec_id, nr, action, case action when 'exact' then firsts[list_position(codes, w)] when 'near' then source else vec_id end,
+               case action when 'call' then list_append(codes, w) else codes end, case action when 'call' then list_append(firsts, vec_id) else firsts end, w
+        from (select s.*, r.codes, r.firsts, r.source, case when list_contains(r.codes, s.w) then 'exact' when hamming(s.w, r.before) / (ceil(length(s.w) / 64) * 64)::double <= 0.25 then 'near' else 'call' end as action
+              from r join s on s.video is not distinct from r.video and s.nr = r.nr + 1))
+    select video, vec_id, action, source from r""")
 def reuse_chain(spark, sf_dir):
     rows = table(spark, sf_dir, "embeddings").select(F.col("label").alias("video"), "vec_id", _words(F.col("embedding")).alias("words"))
     return sampling.reuse(rows, "video", "vec_id", "words", 0.25)
@@ -507,9 +548,14 @@ def xml_parse(spark, sf_dir):
 # --- streams
 
 
-@query()
+@query("""with e as (select user_id, epoch_us(ts) as t from events), b as (select *, coalesce(t > lag(t) over (partition by user_id order by t) + 1800000000, true) as new from e),
+    g as (select *, sum(new::int) over (partition by user_id order by t rows unbounded preceding) as no from b),
+    w as (select user_id, min(t) as t0, max(t) + 1800000000 as t1, count(*) as n from g group by user_id, no)
+    select user_id, t0 as started, t1 as ended, n from w where t1 <= (select max(t) from e) - 3600000000""")
 def stream_sessions(spark, sf_dir):
-    return _streamed(spark, sf_dir, lambda s: streaming.sessions(s, "user_id"))
+    """Sessions that the watermark has closed, with their times in microseconds."""
+    found = _streamed(spark, sf_dir, lambda s: streaming.sessions(s, "user_id"))
+    return found.select("user_id", F.unix_micros("start").alias("started"), F.unix_micros("end").alias("ended"), "n")
 
 
 @query("select user_id, max(n) as n from (select user_id, count(*) over (partition by user_id) as n from events) group by user_id")
@@ -519,6 +565,6 @@ def stream_counts(spark, sf_dir):
 
 def _streamed(spark: SparkSession, sf_dir: str, plan: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
     """What a stream over the table yields, written as Parquet to the shared folder."""
-    path = f"{sf_dir}/events.parquet"
+    path = f"{sf_dir}/{{events.parquet}}"  # as a pattern, so that it may be one file as well as a folder
     rows = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(path)
     return streaming.drained(plan(rows.withColumn("ts", F.col("ts").cast("timestamp"))), mode)
