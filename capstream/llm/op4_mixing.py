@@ -35,6 +35,8 @@ BLOCK_WORDS, CORPUS_BLOCKS, SOURCE_BLOCKS = 2048, 2**17, 256
 #: Hex digits of the order key that name a bucket of a source's stream; bits of a stretch of time.
 BUCKET_DIGITS, STRETCH_BITS = 3, 16
 MAX_BROADCAST, SALTS = 20_000, 64
+#: So many slots are broadcast (some 16 MB) rather than joined by a shuffle of the texts.
+MAX_SLOTS = 2**18
 
 
 def order_key(seed: int, doc_id: Column) -> Column:
@@ -201,7 +203,8 @@ def mixed_texts(docs: DataFrame, columns: tuple[str, ...], seed: int = 4, weight
     rows = with_source(stream(sized(docs, seed, columns), plan).where("size > 0"), takes, "no", n_sources, F.xxhash64("at"))
     end = F.least(F.col("size"), (F.col("last_block") + 1) * F.col("block") - F.col("at"))
     rows = rows.withColumn("end", end).where("end > 0").withColumn("block_no", F.floor(F.col("at") / F.col("block")))
-    rows = rows.join(slots, ["no", "epoch", "block_no"])
+    some = (plan.agg(F.sum("slots")).first()[0] or 0) <= MAX_SLOTS
+    rows = rows.join(F.broadcast(slots) if some else slots, ["no", "epoch", "block_no"])
     text = F.col("kept.text")
     words = F.split(text, r"(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])")
     lead = F.when(text.rlike(r"^[\x20\x09-\x0D]"), 1).otherwise(0)

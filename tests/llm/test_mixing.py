@@ -55,6 +55,7 @@ def test_schedule_spreads_every_source_evenly(spark):
 @pytest.mark.parametrize("most", [op.MAX_BROADCAST, 0])
 def test_texts_of_the_mix(spark, monkeypatch, most):
     monkeypatch.setattr(op, "MAX_BROADCAST", most)
+    monkeypatch.setattr(op, "MAX_SLOTS", most)
     docs = frame(spark, tables.rows()["documents"])
     counts = {}
     for r in op.mix(docs).collect():
