@@ -40,8 +40,6 @@ CONTROL = (
 )
 ESCAPE = "\\"
 CHUNK_TOKENS = 65536
-#: Texts are encoded in stretches of about so many characters, cut where the tokenizer cuts anyway.
-STRETCH_CHARS = 100_000
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 _ANY = "|".join(f"{re.escape(c[0])}(?P<e{i}>{re.escape(ESCAPE)}*){re.escape(c[1:])}" for i, c in enumerate(CONTROL))
@@ -72,14 +70,8 @@ class Tokenizer:
         self.first_reserved = len(ranks) + 1
 
     def encode(self, text: str) -> list[int]:
-        if len(text) <= STRETCH_CHARS:
-            return self._encoding.encode_ordinary(text)
-        ids: list[int] = []
-        at = 0
-        while at < len(text):  # byte-level ids decode exactly wherever the text is cut between characters
-            ids += self._encoding.encode_ordinary(text[at : at + STRETCH_CHARS])
-            at += STRETCH_CHARS
-        return ids
+        """The ids of the text as a whole, however long."""
+        return self._encoding.encode_ordinary(text)
 
     def decode(self, ids: list[int]) -> str:
         return self._encoding.decode_bytes(ids).decode("utf-8")
@@ -98,25 +90,26 @@ def assemble(tokenizer: Tokenizer, role: str, text: str) -> tuple[list[int], np.
 
 
 def format_turns(rows: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
-    """conv_id, turn, role, ids, mask of every row; role only for the order of tied turns."""
+    """conv_id, turn, role, text, ids, mask of every row; role and text only for the order of tied turns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = Tokenizer(tokenizer_path)
         for batch in batches:
-            done = [assemble(tokenizer, r or "", t or "") for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
+            done = [assemble(tokenizer, r, t) for r, t in zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)]
             ids = pa.array([np.asarray(i, np.int32).tobytes() for i, _ in done], pa.binary())
             mask = pa.array([np.packbits(m.astype(np.uint8)).tobytes() for _, m in done], pa.binary())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("conv_id", "turn", "role")], ids, mask], names=["conv_id", "turn", "role", "ids", "mask"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], ids, mask], names=[*names, "ids", "mask"])
 
-    rows = rows.select("conv_id", "turn", "role", "text")
+    names = ("conv_id", "turn", "role", "text")
+    rows = rows.select("conv_id", "turn", *[F.coalesce(c, F.lit("")).alias(c) for c in ("role", "text")])
     kinds = dict(rows.dtypes)
-    return rows.mapInArrow(run, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, ids binary, mask binary")
+    return rows.mapInArrow(run, f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, text string, ids binary, mask binary")
 
 
 def format_conversations(rows: DataFrame, tokenizer_path: str | None = None, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
     """conv_id, chunk, last, ids (int32), mask (bits): the conversations, chunks of each one after another."""
     turns = format_turns(rows, tokenizer_path).repartition("conv_id")
-    turns = turns.sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "ids")
+    turns = turns.sortWithinPartitions(F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), "role", "text").drop("turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, started, chunk, ids, mask, size = None, False, 0, [], [], 0

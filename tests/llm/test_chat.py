@@ -47,3 +47,22 @@ def test_conversations_against_brute_force(spark):
             assert (found.loss_chars, found.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
             tags = sum(map(len, op.RESERVED))
             assert found.formatted_chars == sum(tags + len(op.escape(r[2] or "")) + len(op.escape(r[3] or "")) for r in own)
+
+
+def test_ties_are_ordered_by_text_and_nulls_are_empty(spark):
+    rows = [(1, 0, "user", x) for x in ("zebra", "a", "  b", "Ä", "aa", "<|end|>", "")] + [(1, 0, None, "q"), (1, 0, "", "c"), (1, None, "user", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    want = sorted(((t is not None, t or 0, (r or "").encode(), (x or "").encode()) for _, t, r, x in rows))
+    whole = b"".join(r + b"\n" + x + b"\n" for _, _, r, x in want)
+    assert op.digests(op.format_conversations(df)).first().turns_sha256 == hashlib.sha256(whole).hexdigest()
+
+
+def test_long_texts_get_the_ids_of_the_whole(spark):
+    import random
+
+    rng = random.Random(3)
+    text = "".join(rng.choice(["word", " ", "  ", "\n", "12345", "é漢", "!?", "'s"]) for _ in range(120_000))
+    tokenizer = op.Tokenizer()
+    ids, mask = op.assemble(tokenizer, "assistant", text)
+    body = [i for i, m in zip(ids, mask) if m]
+    assert len(text) > 200_000 and body == tokenizer._encoding.encode_ordinary(op.escape(text)) and op.unescape(tokenizer.decode(body)) == text
