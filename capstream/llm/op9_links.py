@@ -3,12 +3,14 @@
 A url's rule decides where one fits. Elsewhere the host's own standing does: trust spreads from hosts
 with allowed pages along links (personalised PageRank), distrust spreads from hosts with blocked
 pages against the links (a page that links to blocked hosts becomes suspect). A host whose distrust
-exceeds `threshold` times its trust is blocked.
+exceeds `threshold` times its trust is blocked. The walk takes STEPS steps at most; DAMPING ** STEPS (4 %) of its mass
+would go on beyond them.
 
 Scale: ranks and links are keyed by host and shuffled by it, links are summed per pair of hosts before
 the first shuffle, hot hosts are pre-aggregated in every step, and the lineage is cut in the shared
-checkpoint folder every few steps. Only sums of scores reach the driver. Mass at hosts without links
-leaves the walk.
+checkpoint folder every few steps. Hosts that hold very many pages or links are told their scores by broadcast (their
+number is bounded, heavy_keys), so that their rows stay where they are. Only sums of scores reach the driver. Mass at
+hosts without links leaves the walk.
 
 Null url, or one without "://", has empty host and path, fits no rule, and is judged like a host that
 nobody links to (allowed). Null html has no links. Null page_id and repeated rows are judged like any
@@ -21,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from capstream.llm.common import ascii_lower, checkpoint, table
+from capstream.llm.common import ascii_lower, checkpoint, heavy_keys, table, with_known
 
 #: (verdict, host, path): fits the host and its subdomains where the path starts so.
 RULES = (
@@ -69,15 +71,20 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps:
         return seeds.select("host", *[((1 - damping) * F.col(c)).alias(c) for c in ("trust", "distrust")])
     base = seeds.select("host", *[((1 - damping) * F.col(c)).alias(c) for c in ("trust", "distrust")])
     ranks, nothing = seeds, F.lit(0.0)
+    hot = {end: checkpoint(heavy_keys(edges.groupBy(F.col(end).alias("host")).agg(F.count("*").alias("n")), "host")) for end in ("src", "dst")}
+    hot = {end: None if keys.isEmpty() else keys for end, keys in hot.items()}
+    every = STEPS_BETWEEN_CHECKPOINTS if hot == {"src": None, "dst": None} else 1
+
+    def ranked(end: str, ranks: DataFrame) -> DataFrame:
+        rows = edges.withColumnRenamed(end, "host")
+        return rows.join(ranks, "host") if hot[end] is None else with_known(rows, ranks, "host", hot[end])
+
     for step in range(1, steps + 1):
-        ahead = edges.join(ranks, edges.src == ranks.host).select(
-            F.col("dst").alias("host"), (damping * F.col("ahead") * F.col("trust")).alias("trust"), nothing.alias("distrust")
-        )
-        back = edges.join(ranks, edges.dst == ranks.host).select(
-            F.col("src").alias("host"), nothing.alias("trust"), (damping * F.col("back") * F.col("distrust")).alias("distrust")
-        )
+        ahead = ranked("src", ranks).select(F.col("dst").alias("host"), (damping * F.col("ahead") * F.col("trust")).alias("trust"), nothing.alias("distrust"))
+        back = ranked("dst", ranks).select(F.col("src").alias("host"), nothing.alias("trust"), (damping * F.col("back") * F.col("distrust")).alias("distrust"))
+        ahead, back = ahead.where("trust is not null"), back.where("distrust is not null")
         new = base.unionByName(ahead).unionByName(back).groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        if step % STEPS_BETWEEN_CHECKPOINTS == 0:
+        if step % every == 0:
             new = checkpoint(new)
             both = ranks.select("host", F.col("trust").alias("t"), F.col("distrust").alias("d")).join(new, "host", "full")
             gap = [F.abs(F.coalesce(a, nothing) - F.coalesce(b, nothing)) for a, b in ((F.col("t"), F.col("trust")), (F.col("d"), F.col("distrust")))]
@@ -94,11 +101,12 @@ def judge(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFr
     rows = rows.withColumn("fits", fitting_rule(F.col("host"), F.col("path"), rules))
     count = [F.sum(F.when(F.col("fits.verdict") == v, 1.0).otherwise(0.0)).alias(c) for v, c in (("allow", "trust"), ("block", "distrust"))]
     seeds = rows.where("fits is not null and host != ''").groupBy("host").agg(*count)
-    sums = seeds.agg(F.sum("trust").alias("all_trust"), F.sum("distrust").alias("all_distrust"))
-    share = lambda c: F.coalesce(F.col(c) / F.nullif(F.col(f"all_{c}"), F.lit(0.0)), F.lit(0.0)).alias(c)
-    seeds = checkpoint(seeds.join(F.broadcast(sums)).select("host", share("trust"), share("distrust")))  # sums: one row
-    scores = spread(host_links(pages), seeds)
-    judged = rows.join(scores, "host", "left")
+    sums = seeds.agg(F.sum("trust"), F.sum("distrust")).first()
+    share = lambda c, total: (F.col(c) / total if total else F.lit(0.0)).alias(c)
+    seeds = checkpoint(seeds.select("host", share("trust", sums[0]), share("distrust", sums[1])))
+    scores = checkpoint(spread(host_links(pages), seeds))
+    counts = rows.groupBy("host").agg(F.count("*").alias("n"))
+    judged = with_known(rows, scores, "host", checkpoint(heavy_keys(counts, "host")))
     trust, distrust = F.coalesce("trust", F.lit(0.0)), F.coalesce("distrust", F.lit(0.0))
     method = F.when(distrust > threshold * trust, "block").otherwise("allow")
     return judged.select(

@@ -68,3 +68,15 @@ def test_distrust_flows_back_and_trust_forward(spark):
 )
 def test_rules(spark, url, rule):
     assert op.judge(frame(spark, [(1, url, None)])).first().rule == rule
+
+
+def test_hot_hosts(spark, monkeypatch):
+    """The same ranks where a host with most pages and links is told its scores by broadcast."""
+    link = lambda *to: "".join(f'<a href="https://{t}/">' for t in to)
+    rows = [(i, f"https://hub.example.com/x/{i}", link(f"h{i % 7}.example.com", "bad.example.com")) for i in range(30)]
+    rows += [(100 + i, f"https://h{i}.example.com/de/", link("hub.example.com", f"h{(i + 1) % 7}.example.com")) for i in range(7)] + [(200, "https://o.example.net/en/", link("hub.example.com", "h1.example.com"))]
+    want = {n: x for n, x in brute(rows).items()}
+    for share in (2000, 3):
+        monkeypatch.setattr("capstream.llm.common.HEAVY", share)
+        got = {r.page_id: (r.host, r.rule, r.verdict) for r in op.judge(frame(spark, rows)).collect()}
+        assert got == {rows[n][0]: x for n, x in want.items()}
