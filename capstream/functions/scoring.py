@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,10 +23,18 @@ def weighted_confidence(lines: Column) -> Column:
 
 def quality(text: Column, confidence: Column, n_lines: Column) -> Column:
     """0 to 1 from confidence, length and lines; very short texts lose some."""
-    n = meaningful_length(text)
-    score = confidence * 0.72 + F.least(F.lit(1.0), F.log2(n + 1.0) / 4.0) * 0.23 + F.least(F.lit(1.0), n_lines / 2.0) * 0.05
-    score = score - F.when(n == 1, 0.22).when(n == 2, 0.06).otherwise(0.0)
-    return F.when(n == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
+
+    def of(n: Column) -> Column:
+        score = confidence * 0.72 + F.least(F.lit(1.0), F.log2(n + 1.0) / 4.0) * 0.23 + F.least(F.lit(1.0), n_lines / 2.0) * 0.05
+        score = score - F.when(n == 1, 0.22).when(n == 2, 0.06).otherwise(0.0)
+        return F.when(n == 0, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)))
+
+    return _with_length(text, of)
+
+
+def _with_length(text: Column, of: Callable[[Column], Column]) -> Column:
+    """`of` the meaningful length, which is measured once however often it is used."""
+    return F.transform(F.array(meaningful_length(text)), of)[0]
 
 
 def candidate_rank(text: Column, confidence: Column, q: Column) -> Column:
@@ -47,5 +57,4 @@ def sample_rank(text: Column, confidence: Column, q: Column) -> Column:
 
 def is_fragment(text: Column, confidence: Column) -> Column:
     """Nothing meaningful, or one character without confidence."""
-    n = meaningful_length(text)
-    return (n == 0) | ((n == 1) & (confidence < 0.72))
+    return _with_length(text, lambda n: (n == 0) | ((n == 1) & (confidence < 0.72)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 # What these stand for must be the same everywhere for results to agree.
-MEANINGFUL = r"[^A-Za-z0-9\x{3040}-\x{30ff}\x{3400}-\x{9fff}]"
+MEANINGFUL = r"[^A-Za-z0-9\x{3040}-\x{30ff}\x{3400}-\x{9fff}]+"
 UNREADABLE = ("[unrecognized]", "[unabletorecognize]")
 TERMINAL_PUNCTUATION = (".", "!", "?", "。", "！", "？", "…")
 NON_DIALOGUE = (
@@ -23,7 +23,7 @@ OVERLAP_WINDOW = 12
 
 #: White space as Unicode has it, with the four separators that Java leaves out.
 SPACE = r"(?U)[\s\x1C-\x1F]+"
-EDGES = r"(?U)^[\s\x1C-\x1F]+|[\s\x1C-\x1F]+$"
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 LINE_BREAK = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\u0085\u2028\u2029]"
 
 
@@ -43,7 +43,19 @@ def spaced(c: Column) -> Column:
 
 def trimmed(c: Column) -> Column:
     """Without white space, of any kind, at either end; null stays null."""
-    return F.regexp_replace(c, EDGES, "")
+    return F.btrim(c, F.lit(SPACES))
+
+
+def head(c: Column, n: int) -> Column:
+    """The first n characters of spaced(c); the whole text is only looked at where its beginning is mostly blank."""
+    short = spaced(F.left(F.ltrim(_text(c), F.lit(SPACES)), F.lit(8 * n)))
+    return F.left(F.when(F.length(short) > n, short).otherwise(spaced(c)), F.lit(n))
+
+
+def tail(c: Column, n: int) -> Column:
+    """The last n characters of spaced(c)."""
+    short = spaced(F.right(F.rtrim(_text(c), F.lit(SPACES)), F.lit(8 * n)))
+    return F.right(F.when(F.length(short) > n, short).otherwise(spaced(c)), F.lit(n))
 
 
 def comparison_key(c: Column) -> Column:
@@ -52,7 +64,8 @@ def comparison_key(c: Column) -> Column:
 
 
 def is_readable(c: Column) -> Column:
-    return (compact(c) != "") & ~compact(c).isin(*UNREADABLE)
+    own = trimmed(_text(c))
+    return (own != "") & ~(own.startswith("[") & compact(own).isin(*UNREADABLE))
 
 
 def meaningful_length(c: Column) -> Column:
@@ -77,7 +90,7 @@ def clean_markup(c: Column) -> Column:
 
 def is_dialogue(c: Column) -> Column:
     """Not empty, and not only a note about music."""
-    return (compact(c) != "") & ~compact(c).rlike(NON_DIALOGUE)
+    return (trimmed(_text(c)) != "") & ~compact(c).rlike(NON_DIALOGUE)
 
 
 def _first(values: Column) -> Column:
@@ -105,22 +118,21 @@ def join_lines(lines: Column) -> Column:
     return F.aggregate(F.transform(lines, spaced), F.lit(""), add)
 
 
-def overlap_of(left: Column, right: Column, window: int = OVERLAP_WINDOW) -> Column:
-    """Length of the longest end of `left`, up to `window`, that `right` starts with; both are spaced() already."""
-    tail, head = F.right(left, F.lit(window)), F.left(right, F.lit(window))
+def overlap_of(end: Column, start: Column, window: int = OVERLAP_WINDOW) -> Column:
+    """Length of the longest end of the one that the other starts with, of at most `window` characters each: tail() and head()."""
     out = F.lit(0)
     for n in range(1, window + 1):
-        out = F.when((F.length(tail) >= n) & (F.length(head) >= n) & (F.right(tail, F.lit(n)) == F.left(head, F.lit(n))), n).otherwise(out)
+        out = F.when((F.length(end) >= n) & (F.length(start) >= n) & (F.right(end, F.lit(n)) == F.left(start, F.lit(n))), n).otherwise(out)
     return F.coalesce(out, F.lit(0)).cast("long")
 
 
 def overlap(left: Column, right: Column, window: int = OVERLAP_WINDOW) -> Column:
-    """overlap_of any two texts."""
-    return overlap_of(spaced(left), spaced(right), window)
+    """Length of the longest end of `left`, up to `window`, that `right` starts with."""
+    return overlap_of(tail(left, window), head(right, window), window)
 
 
 def ends_sentence(c: Column) -> Column:
-    return F.regexp_replace(_text(c), r"(?U)[\s\x1C-\x1F]+$", "").rlike("[.!?。！？…]$")
+    return F.right(F.rtrim(_text(c), F.lit(SPACES)), F.lit(1)).isin(*TERMINAL_PUNCTUATION)
 
 
 def first_occurrences(values: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capstream.functions import scoring, similarity
-from capstream.functions.text import OVERLAP_WINDOW, comparison_key, ends_sentence, first_occurrences, is_readable, join_lines, meaningful_length, overlap_of, spaced, trimmed
+from capstream.functions.text import OVERLAP_WINDOW, comparison_key, ends_sentence, first_occurrences, head, is_readable, join_lines, meaningful_length, overlap_of, spaced, tail, trimmed
 
 INTERVAL = 3.0
 CREDIBLE_CONFIDENCE, CREDIBLE_QUALITY = 0.55, 0.16
@@ -94,10 +94,11 @@ def _runs(found: DataFrame, by: list[str], interval: float) -> DataFrame:
     kinds = dict(found.dtypes)
     one = F.struct(*[F.col(c).cast({"start": "double", "end": "double", "confidence": "double"}.get(c, kinds[c])) for c in fields])
     order = Window.partitionBy(*by).orderBy("start", "end", "text")
-    rows = found.select(*by, one.cast(SEGMENT).alias("_s"), "start", "end", "text", spaced(F.col("text")).alias("_own"))
-    rows = rows.withColumns({"_left": F.lag("_own").over(order), "_gap": F.col("start") - F.lag("end").over(order)})
+    ends = [tail(F.col("text"), OVERLAP_WINDOW).alias("_tail"), head(F.col("text"), OVERLAP_WINDOW).alias("_head")]
+    rows = found.select(*by, one.cast(SEGMENT).alias("_s"), "start", "end", "text", *ends)
+    rows = rows.withColumns({"_left": F.lag("_tail").over(order), "_gap": F.col("start") - F.lag("end").over(order)})
     near = (F.col("_gap") <= interval * 0.5) & ~ends_sentence(F.col("_left"))
-    may = near & ((F.length("_left") < OVERLAP_WINDOW) | (overlap_of(F.col("_left"), F.col("_own")) >= 2))
+    may = near & ((F.length("_left") < OVERLAP_WINDOW) | (overlap_of(F.col("_left"), F.col("_head")) >= 2))
     cut = F.when(F.coalesce(may, F.lit(False)), 0).otherwise(1)
     rows = rows.withColumn("_run", F.sum(cut).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return rows.groupBy(*by, "_run").agg(F.array_sort(F.collect_list("_s")).alias("_all"))
@@ -109,7 +110,7 @@ def _folded(every: Column, interval: float) -> Column:
     def add(done: Column, x: Column) -> Column:
         last = F.try_element_at(done, F.lit(-1))
         left, right = spaced(last["text"]), spaced(x["text"])
-        n = overlap_of(left, right)
+        n = overlap_of(F.right(left, F.lit(OVERLAP_WINDOW)), F.left(right, F.lit(OVERLAP_WINDOW)))
         merged = F.concat(left, F.substr(right, (n + 1).cast("int")))
         fits = (x["start"] - last["end"] <= interval * 0.5) & ~ends_sentence(last["text"]) & (n >= 2) & (merged != left) & (merged != right)
         a, b = F.size(last["sample_times"]), F.size(x["sample_times"])

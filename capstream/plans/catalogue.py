@@ -45,9 +45,11 @@ def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("quality", scoring.quality(F.col("text"), F.col("confidence"), F.lit(1)))
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of documents as samples."""
-    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("output_key"), F.posexplode(F.split("text", "\n")).alias("pos", "text"))
+def lines(spark: SparkSession, sf_dir: str, together: bool = True) -> DataFrame:
+    """Lines of documents as samples; `together` shuffles the bare texts by key, so that windows need no further exchange."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("output_key"), "text")
+    docs = docs.repartition("output_key") if together else docs
+    rows = docs.select("output_key", F.posexplode(F.split("text", "\n")).alias("pos", "text"))
     rows = rows.select("output_key", F.col("pos").cast("long").alias("pos"), (F.col("pos") * 3.0).alias("time"), "text", _proxy_confidence(F.col("output_key"), F.col("pos")).alias("confidence"))
     return rows.withColumn("quality", scoring.quality(F.col("text"), F.col("confidence"), F.lit(1)))
 
@@ -148,7 +150,7 @@ def clean_markup(spark, sf_dir):
 @query(f"""with {Q_LINES} select output_key, count(*) as n_lines, count(*) filter ({q_compact("text")} != '' and not regexp_full_match({q_compact("text")},
     '[\\s♪♫♬【】\\[\\]()<>\\-_.:：,，]*(music|bgm|soundtrack|instrumental|音乐|纯音乐|音效)[\\s♪♫♬【】\\[\\]()<>\\-_.:：,，]*', 'i')) as n_dialogue from lines group by output_key""")
 def dialogue_filter(spark, sf_dir):
-    return lines(spark, sf_dir).groupBy("output_key").agg(F.count("*").alias("n_lines"), F.count_if(text.is_dialogue(F.col("text"))).alias("n_dialogue"))
+    return lines(spark, sf_dir, together=False).groupBy("output_key").agg(F.count("*").alias("n_lines"), F.count_if(text.is_dialogue(F.col("text"))).alias("n_dialogue"))
 
 
 @query("select page_id, trim(url) as title from pages")
@@ -160,9 +162,10 @@ def title_extract(spark, sf_dir):
 @query(f"""with {Q_LINES}, p as (select output_key, pos, {q_spaced("text")} as r, lag({q_spaced("text")}) over (partition by output_key order by pos) as l from lines)
     select output_key, pos, coalesce(list_max(list_filter(range(1, 13), lambda n: n <= least(length(l), length(r)) and right(l, n) = left(r, n))), 0)::bigint as overlap from p where l is not null""")
 def overlap_pairs(spark, sf_dir):
-    rows = lines(spark, sf_dir).select("output_key", "pos", text.spaced(F.col("text")).alias("own"))
-    rows = rows.withColumn("before", F.lag("own").over(Window.partitionBy("output_key").orderBy("pos"))).where("before is not null")
-    return rows.select("output_key", "pos", text.overlap_of(F.col("before"), F.col("own")).alias("overlap"))
+    ends = [text.tail(F.col("text"), text.OVERLAP_WINDOW).alias("end"), text.head(F.col("text"), text.OVERLAP_WINDOW).alias("start")]  # all that a shuffle need move
+    rows = lines(spark, sf_dir).select("output_key", "pos", *ends)
+    rows = rows.withColumn("before", F.lag("end").over(Window.partitionBy("output_key").orderBy("pos"))).where("before is not null")
+    return rows.select("output_key", "pos", text.overlap_of(F.col("before"), F.col("start")).alias("overlap"))
 
 
 @query("select doc_id, list_unique(list_filter(string_split(text, chr(10)), lambda l: l != ''))::bigint as n_unique from documents")
@@ -240,12 +243,12 @@ def _scored(docs: DataFrame) -> DataFrame:
 @query(f"with {Q_LINES} select output_key, round(sum(confidence * greatest(1, {q_length('text')})) / sum(greatest(1, {q_length('text')})), 6) as confidence from lines group by output_key")
 def weighted_conf(spark, sf_dir):
     weight = scoring.weight(F.col("text"))  # over rows it is a plain ratio of sums, which is added up before the shuffle
-    return lines(spark, sf_dir).groupBy("output_key").agg(F.round(F.sum(F.col("confidence") * weight) / F.sum(weight), 6).alias("confidence"))
+    return lines(spark, sf_dir, together=False).groupBy("output_key").agg(F.round(F.sum(F.col("confidence") * weight) / F.sum(weight), 6).alias("confidence"))
 
 
 @query(f"with {Q_LINES} select output_key, pos from lines where {q_length('text')} = 0 or ({q_length('text')} = 1 and confidence < 0.72)")
 def drop_fragments(spark, sf_dir):
-    return lines(spark, sf_dir).where(scoring.is_fragment(F.col("text"), F.col("confidence"))).select("output_key", "pos")
+    return lines(spark, sf_dir, together=False).where(scoring.is_fragment(F.col("text"), F.col("confidence"))).select("output_key", "pos")
 
 
 _RANK = f"quality + least({q_length('text')}, 12) * 0.008::double desc, {q_length('text')} desc, confidence desc, pos"
