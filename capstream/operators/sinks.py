@@ -74,13 +74,14 @@ def source_card(videos: DataFrame, interval: float, start: float | None = None,
 
 
 def write_documents(documents: DataFrame, path: str, name: str, key: str = "output_key") -> None:
-    """One text file for each video below path/name; Spark's commit makes each write whole or not at all."""
-    documents.repartition(key).write.mode("overwrite").partitionBy(key).text(f"{path}/{name}")
+    """One text file for each video below path/name, in place of its older one; Spark's commit makes each write whole or not at all."""
+    rows = documents.select(key, F.regexp_replace("document", r"\n\z", "").alias("document"))  # the writer ends the last line
+    rows.repartition(key).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).text(f"{path}/{name}")
 
 
 def write_json_lines(lines: DataFrame, path: str, name: str = "segments.jsonl", key: str = "output_key") -> None:
     ordered = lines.repartition(key).sortWithinPartitions(key, "segment_id").select(key, "line")
-    ordered.write.mode("overwrite").partitionBy(key).text(f"{path}/{name}")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).text(f"{path}/{name}")
 
 
 def frame_index(samples: DataFrame) -> DataFrame:
