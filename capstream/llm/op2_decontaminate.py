@@ -3,7 +3,8 @@
 Words of passages are weighted by inverse document frequency, counted over all documents. A randomised
 SVD of TF-IDF passages gives the latent space: executors multiply their passages with a random
 basis and send back sums, the driver makes them orthogonal, twice. It is fitted once, on every
-benchmark item and on at most FIT_PASSAGES passages of each of about FIT_DOCUMENTS documents. Every stretch of every
+benchmark item and on every passage of FIT_WORDS words of every document; all documents together weigh as much
+as FIT_DOCUMENTS of them, and a long text as FIT_PASSAGES passages, so that items stand out among any number. Every stretch of every
 document, at half-overlapping windows of the items' lengths, is then compared with all items by
 cosine in that space. A window whose cosine reaches CANDIDATE of what the item has with itself is a
 candidate: the longest common subsequence of its surroundings and the item must cover NEAR of
@@ -13,8 +14,9 @@ or last sentence) are also there.
 An item of fewer than MIN_WORDS words has no window of its own: it is found where just its words stand in
 its order, next to each other.
 
-Scale: one pass counts words, one searches; neither shuffles text. Counts and sums are bounded by
-VOCABULARY, are added up on executors slice by slice, and only sums reach the driver. The latent
+Scale: one pass counts words, two fit the basis, one searches; none shuffles text. Counts and sums are bounded by
+VOCABULARY, are added up on executors slice by slice, and only sums reach the driver. A fit has a task for each core, as
+every task sends sums as large as the basis. The latent
 basis (VOCABULARY * RANK floats) and about MAX_ITEMS items are broadcast at a time; a larger benchmark is searched in
 so many blocks, each with a pass of its own, and never held by the driver as a whole. Windows run over whole batches of documents, so many short
 documents cost what one long one does, and a long one is cut into stretches of bounded size.
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +48,9 @@ WINDOW = 16
 CANDIDATE, NEAR, PARAPHRASE, ANSWER = 0.4, 0.8, 0.55, 0.6
 #: Words whose sums are taken first: half of the shortest window.
 BLOCK = WINDOW // 2
-MIN_WORDS, GROUP_BYTES, OVERLAP_BYTES, SLICES, SALTS, FIT_TASKS = 5, 1 << 18, 1 << 14, 16, 64, 4
+MIN_WORDS, GROUP_BYTES, OVERLAP_BYTES, SLICES, SALTS = 5, 1 << 18, 1 << 14, 16, 64
+#: Passages that are multiplied at once: a small matrix of the words they have.
+FIT_CHUNK = 96
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -159,13 +164,26 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
     return np.concatenate([*[found[s] for s in range(SLICES)], found[-1]])
 
 
-def _add_times_own(out: np.ndarray, rows: list[np.ndarray], scale: np.ndarray, basis: np.ndarray, weight: float = 1.0) -> None:
-    """Add A'(A basis) to `out` for passages given as places of their words, with `scale` as idf."""
-    for places in rows:
-        places, times = np.unique(places, return_counts=True)
-        values = times * scale[places]
-        values = (weight * values / (np.sqrt((values**2).sum()) or 1.0)).astype(np.float32)
-        out[places] += values[:, None] * (values @ basis[places])[None, :]
+def _add_times_own(out: np.ndarray, passage: np.ndarray, places: np.ndarray, weights: np.ndarray, scale: np.ndarray, basis: np.ndarray) -> None:
+    """Add A'(A basis) to `out` for words with their passage (numbers from 0, ascending) and place, with `scale` as idf."""
+    cells, times = np.unique(passage * VOCABULARY + places, return_counts=True)
+    rows, columns = cells // VOCABULARY, cells % VOCABULARY
+    values = times * scale[columns]
+    lengths = np.sqrt(np.bincount(rows, values**2, len(weights)))
+    columns, at = np.unique(columns, return_inverse=True)
+    own, some = np.zeros((len(weights), len(columns)), np.float32), basis[columns]
+    own[rows, at] = values * (weights / np.maximum(lengths, 1e-30))[rows]
+    out[columns] += own.T @ (own @ some)
+
+
+def passages(firsts: np.ndarray, of_items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The passage and the text of every word, and of every passage its share of its text's weight; an item is one passage."""
+    n = np.diff(firsts)
+    size = np.where(of_items, np.maximum(1, n), FIT_WORDS)
+    many = -(-n // size)
+    text = np.repeat(np.arange(len(n)), n)
+    passage = (np.cumsum(many) - many)[text] + (np.arange(len(text)) - (firsts[:-1] - firsts[0])[text]) // size[text]
+    return passage, text, np.repeat(np.sqrt(np.minimum(1, FIT_PASSAGES / np.maximum(1, many))), many)
 
 
 def orthogonal(sums: np.ndarray, rank: int) -> np.ndarray:
@@ -181,30 +199,31 @@ def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, n_docs: int
     """VOCABULARY x RANK: right singular vectors of the TF-IDF passages, by a distributed randomised SVD."""
     context = docs.sparkSession.sparkContext
     basis = np.random.default_rng(seed).standard_normal((VOCABULARY, RANK + OVERSAMPLE)).astype(np.float32)
-    every = max(1, n_docs // FIT_DOCUMENTS)
-    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(every)) == 0).select("text", F.lit(False).alias("item"))
-    sample = sample.unionByName(items.select("text", F.lit(True).alias("item")))
-    sample = sample.repartition(FIT_TASKS)  # every task sends sums as large as the basis
+    of_docs = min(1.0, FIT_DOCUMENTS / max(1, n_docs)) ** 0.5
+    texts = docs.select("text", F.lit(False).alias("item")).unionByName(items.select("text", F.lit(True).alias("item")))
+    texts = texts.coalesce(context.defaultParallelism)  # every task sends sums as large as the basis
     for last in [*[False] * (ROUNDS - 1), True]:
         sent = context.broadcast((basis, idf))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             (own, scale), out = sent.value, None
             for batch in batches:
-                of_items = batch.column("item").to_pylist()
-                for places, group in in_groups(batch.column("text").to_pylist()):
+                of_items = np.array(batch.column("item").to_pylist(), bool)
+                for places, group in in_groups(batch.column("text").to_pylist(), 0):
                     words = Words(group)
-                    for place, low, high in zip(places, words.firsts[:-1].tolist(), words.firsts[1:].tolist(), strict=True):
-                        out = np.zeros_like(own) if out is None else out
-                        if of_items[place]:
-                            _add_times_own(out, [words.places[low:high]] if high > low else [], scale, own, ITEM_WEIGHT)
-                            continue
-                        step = FIT_WORDS * max(1, -(-(high - low) // (FIT_WORDS * FIT_PASSAGES)))  # evenly over the text
-                        _add_times_own(out, [words.places[a : min(high, a + FIT_WORDS)] for a in range(low, high, step)], scale, own)
+                    if not len(words.places):
+                        continue
+                    out = np.zeros(own.shape) if out is None else out  # of 64 bits, as the sums of very many passages are long
+                    passage, text, weights = passages(words.firsts, of_items[places])
+                    first = np.flatnonzero(np.diff(passage, prepend=-1))  # word of every passage
+                    weights *= np.where(of_items[places][text[first]], ITEM_WEIGHT, of_docs)
+                    for p, (a, b) in enumerate(pairwise([*first[::FIT_CHUNK].tolist(), len(passage)])):
+                        some = weights[p * FIT_CHUNK : (p + 1) * FIT_CHUNK]
+                        _add_times_own(out, passage[a:b] - passage[a], words.places[a:b], some, scale, own)
             if out is not None:
-                yield _slices(out)
+                yield _slices(out.astype(np.float32))
 
-        found = _summed(sample.mapInArrow(run, "slice int, data binary"), "float32")
+        found = _summed(texts.mapInArrow(run, "slice int, data binary"), "float32")
         sent.destroy()  # what it was for has been collected
         if found:
             total = np.concatenate([found[s].reshape(-1, basis.shape[1]) for s in range(SLICES)])

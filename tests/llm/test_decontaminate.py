@@ -137,3 +137,33 @@ def test_orthogonal_columns_span_the_strongest_directions():
     got = op.orthogonal(tall, 5)
     u = np.linalg.svd(tall, full_matrices=False)[0][:, :5]
     assert np.allclose(got.T @ got, np.eye(5), atol=1e-4) and np.allclose(np.abs(np.linalg.svd(u.T @ got)[1]), 1, atol=1e-3)
+
+
+def test_the_basis_is_fitted_on_every_passage_of_every_document(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(op, "FIT_DOCUMENTS", 10)
+    rng = random.Random(13)
+    texts, sought = corpus(rng, 60) + ["", " ".join(corpus(rng, 30)), "one", "one one"], items(rng, 5)
+    docs, benchmark = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(sought)), "item_id long, text string")
+    idf = np.random.default_rng(3).random(op.VOCABULARY).astype(np.float32) + 0.5
+
+    rows, weights = [], []
+    for text in texts:
+        places = op.Words([op.encoded(text)]).places
+        cut = [places[k : k + op.FIT_WORDS] for k in range(0, len(places), op.FIT_WORDS)]
+        rows += cut
+        weights += [(10 / len(texts) * min(1, op.FIT_PASSAGES / max(1, len(cut)))) ** 0.5] * len(cut)
+    rows += [op.Words([op.encoded(text)]).places for text in sought]
+    weights += [op.ITEM_WEIGHT] * len(sought)
+    used = np.unique(np.concatenate(rows))
+    a = np.zeros((len(rows), len(used)))
+    for i, places in enumerate(rows):
+        np.add.at(a[i], np.searchsorted(used, places), idf[places])
+        a[i] *= weights[i] / np.sqrt((a[i] ** 2).sum())
+    want = np.random.default_rng(2).standard_normal((op.VOCABULARY, op.RANK + op.OVERSAMPLE)).astype(np.float32)[used]
+    for rank in (op.RANK + op.OVERSAMPLE, op.RANK):
+        want = op.orthogonal((a.T @ (a @ want)).astype(np.float32), rank)
+    got = op.latent_basis(docs, benchmark, idf, len(texts))
+    assert got.shape == (op.VOCABULARY, op.RANK) and not np.delete(got, used, axis=0).any()
+    assert np.allclose(np.abs(np.linalg.svd(want.T @ got[used])[1]), 1, atol=1e-2)
