@@ -49,8 +49,9 @@ CANDIDATE, NEAR, PARAPHRASE, ANSWER = 0.4, 0.8, 0.55, 0.6
 #: Words whose sums are taken first: half of the shortest window.
 BLOCK = WINDOW // 2
 MIN_WORDS, GROUP_BYTES, OVERLAP_BYTES, SLICES, SALTS = 5, 1 << 18, 1 << 14, 16, 64
-#: Passages that are multiplied at once: a small matrix of the words they have.
-FIT_CHUNK = 96
+#: Passages and distinct words that are multiplied at once: products so small that BLAS starts no threads for them,
+#: which would spin on the cores of other tasks.
+FIT_CHUNK, FIT_COLUMNS = 64, 64
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -171,9 +172,12 @@ def _add_times_own(out: np.ndarray, passage: np.ndarray, places: np.ndarray, wei
     values = times * scale[columns]
     lengths = np.sqrt(np.bincount(rows, values**2, len(weights)))
     columns, at = np.unique(columns, return_inverse=True)
-    own, some = np.zeros((len(weights), len(columns)), np.float32), basis[columns]
-    own[rows, at] = values * (weights / np.maximum(lengths, 1e-30))[rows]
-    out[columns] += own.T @ (own @ some)
+    blocks = -(-len(columns) // FIT_COLUMNS)
+    own, some = np.zeros((blocks, len(weights), FIT_COLUMNS), np.float32), np.zeros((blocks, FIT_COLUMNS, basis.shape[1]), np.float32)
+    some.reshape(-1, basis.shape[1])[: len(columns)] = basis[columns]
+    own[at // FIT_COLUMNS, rows, at % FIT_COLUMNS] = values * (weights / np.maximum(lengths, 1e-30))[rows]
+    back = own.transpose(0, 2, 1) @ (own @ some).sum(axis=0)
+    out[columns] += back.reshape(-1, basis.shape[1])[: len(columns)]
 
 
 def passages(firsts: np.ndarray, of_items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
