@@ -70,11 +70,27 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, lanes: int = 1) -> byt
     return np.packbits(2 * ones > len(h)).tobytes()
 
 
+def wide_fingerprint(h: np.ndarray, lanes: int) -> bytes:
+    """The fingerprint of shingles' hashes, all lanes at once; bytes of words count the same bit of 255 hashes at a time."""
+    ones = np.zeros((lanes, 8, 8), np.int64)  # by byte, then bit, from the lowest
+    for at in range(0, len(h), 255):
+        some = h[at : at + 255]
+        x = some + (np.arange(lanes, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[:, None]
+        x = _mixed(x)
+        x[0] = some
+        for bit in range(8):
+            ones[:, :, bit] += ((x >> np.uint64(bit)) & np.uint64(0x0101010101010101)).sum(axis=1).astype("<u8").view(np.uint8).reshape(lanes, 8)
+    return np.packbits(2 * ones.reshape(lanes, 64)[:, ::-1] > len(h)).tobytes()
+
+
 def _lane(h: np.ndarray, lane: int) -> np.ndarray:
     """More hashes of the same shingles, by a mixing step for each lane after the first."""
     if not lane:
         return h
-    x = h + np.uint64(lane * 0x9E3779B97F4A7C15 % 2**64)
+    return _mixed(h + np.uint64(lane * 0x9E3779B97F4A7C15 % 2**64))
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
