@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +48,8 @@ CANDIDATE, NEAR, PARAPHRASE, ANSWER = 0.4, 0.8, 0.55, 0.6
 #: Words whose sums are taken first: half of the shortest window.
 BLOCK = WINDOW // 2
 MIN_WORDS, GROUP_BYTES, OVERLAP_BYTES, SLICES, SALTS = 5, 1 << 18, 1 << 14, 16, 64
-#: Passages and distinct words that are multiplied at once: products so small that BLAS starts no threads for them,
-#: which would spin on the cores of other tasks.
-FIT_CHUNK, FIT_COLUMNS = 64, 64
+#: Rows of the basis that are taken at once, a multiple of BLOCK.
+AT_ONCE = 4096
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -148,13 +146,16 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             n += len(texts)
-            seen: dict[int, list[np.ndarray]] = {}  # by text, as a long one comes in parts
+            cells, parts = [np.empty(0, np.int64)], 0
             for places, group in in_groups(texts):
-                words = Words(group)
-                for k, place in enumerate(places):
-                    seen.setdefault(place, []).append(np.unique(words.places[words.firsts[k] : words.firsts[k + 1]]))
-            found = [x[0] if len(x) == 1 else np.unique(np.concatenate(x)) for x in seen.values()]
-            counts += np.bincount(np.concatenate([*found, np.empty(0, np.int64)]), minlength=VOCABULARY)
+                words, parts = Words(group), parts + len(places)
+                text = np.repeat(np.array(places, np.int64), np.diff(words.firsts))
+                own = np.sort((text << VOCABULARY_BITS) | words.places)
+                cells.append(own[np.diff(own, prepend=-1) > 0])
+            found = np.concatenate(cells)
+            if parts > len(texts):  # a long text comes in parts
+                found = np.unique(found)
+            counts += np.bincount(found & (VOCABULARY - 1), minlength=VOCABULARY)
         if n:
             yield _slices(counts)
             yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([np.array([n], np.int64).tobytes()], pa.binary())], names=["slice", "data"])
@@ -165,19 +166,38 @@ def document_frequencies(docs: DataFrame) -> np.ndarray:
     return np.concatenate([*[found[s] for s in range(SLICES)], found[-1]])
 
 
+def _weighed(first: np.ndarray, n: np.ndarray, which: np.ndarray, shares: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For every run of n entries from `first`, the sum of rows[which] * shares; runs of about one length together."""
+    out = np.zeros((len(first), rows.shape[1]), np.float32)
+    before, width, longest = 0, 1, n.max(initial=0)
+    while before < longest:
+        some, step = np.flatnonzero((n > before) & (n <= width)), max(1, AT_ONCE // width)
+        for a in range(0, len(some), step):
+            run = some[a : a + step]
+            at, inside = first[run, None] + np.arange(width), np.arange(width) < n[run, None]
+            at *= inside
+            out[run] = ((shares[at] * inside)[:, None] @ rows.take(which[at], axis=0))[:, 0] if width > 1 else shares[at] * rows.take(which[at[:, 0]], axis=0)
+        before, width = width, max(width + 1, width * 4 // 3 if width % 3 == 0 else width * 3 // 2)  # 1, 2, 3, 4, 6, 8, 12 ... 48
+    return out
+
+
 def _add_times_own(out: np.ndarray, passage: np.ndarray, places: np.ndarray, weights: np.ndarray, scale: np.ndarray, basis: np.ndarray) -> None:
     """Add A'(A basis) to `out` for words with their passage (numbers from 0, ascending) and place, with `scale` as idf."""
-    cells, times = np.unique(passage * VOCABULARY + places, return_counts=True)
-    rows, columns = cells // VOCABULARY, cells % VOCABULARY
+    cells = np.sort((passage << VOCABULARY_BITS) | places)
+    first = np.flatnonzero(np.diff(cells, prepend=-1))
+    times, cells = np.diff(first, append=len(cells)), cells[first]
+    rows, columns = cells >> VOCABULARY_BITS, cells & (VOCABULARY - 1)
     values = times * scale[columns]
     lengths = np.sqrt(np.bincount(rows, values**2, len(weights)))
-    columns, at = np.unique(columns, return_inverse=True)
-    blocks = -(-len(columns) // FIT_COLUMNS)
-    own, some = np.zeros((blocks, len(weights), FIT_COLUMNS), np.float32), np.zeros((blocks, FIT_COLUMNS, basis.shape[1]), np.float32)
-    some.reshape(-1, basis.shape[1])[: len(columns)] = basis[columns]
-    own[at // FIT_COLUMNS, rows, at % FIT_COLUMNS] = values * (weights / np.maximum(lengths, 1e-30))[rows]
-    back = own.transpose(0, 2, 1) @ (own @ some).sum(axis=0)
-    out[columns] += back.reshape(-1, basis.shape[1])[: len(columns)]
+    values = (values * (weights / np.maximum(lengths, 1e-30))[rows]).astype(np.float32)
+    starts = np.searchsorted(rows, np.arange(len(weights) + 1))
+    own = _weighed(starts[:-1], np.diff(starts), columns, values, basis)
+    by_word = np.argsort(columns.astype(np.uint16), kind="stable")
+    columns = columns[by_word]
+    first = np.flatnonzero(np.diff(columns, prepend=-1))
+    sums = _weighed(first, np.diff(first, append=len(columns)), rows[by_word], values[by_word], own)
+    sums += out.take(columns[first], axis=0)
+    out[columns[first]] = sums
 
 
 def passages(firsts: np.ndarray, of_items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,18 +232,19 @@ def latent_basis(docs: DataFrame, items: DataFrame, idf: np.ndarray, n_docs: int
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             (own, scale), out = sent.value, None
             for batch in batches:
+                added = None
                 of_items = np.array(batch.column("item").to_pylist(), bool)
                 for places, group in in_groups(batch.column("text").to_pylist(), 0):
                     words = Words(group)
                     if not len(words.places):
                         continue
-                    out = np.zeros(own.shape) if out is None else out  # of 64 bits, as the sums of very many passages are long
+                    added = np.zeros(own.shape, np.float32) if added is None else added
                     passage, text, weights = passages(words.firsts, of_items[places])
                     first = np.flatnonzero(np.diff(passage, prepend=-1))  # word of every passage
                     weights *= np.where(of_items[places][text[first]], ITEM_WEIGHT, of_docs)
-                    for p, (a, b) in enumerate(pairwise([*first[::FIT_CHUNK].tolist(), len(passage)])):
-                        some = weights[p * FIT_CHUNK : (p + 1) * FIT_CHUNK]
-                        _add_times_own(out, passage[a:b] - passage[a], words.places[a:b], some, scale, own)
+                    _add_times_own(added, passage, words.places, weights, scale, own)
+                if added is not None:  # of 64 bits, as the sums of very many passages are long
+                    out = added.astype(np.float64) if out is None else np.add(out, added, out=out)
             if out is not None:
                 yield _slices(out.astype(np.float32))
 
@@ -297,12 +318,16 @@ class Searcher:
     def candidates(self, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
         """(first words, ends, items, cosines) of the candidate windows over words given as places."""
         n = len(places)
-        rows = self.table[np.pad(places, (0, -n % BLOCK))]
-        rows[n:] = 0
-        half, size = np.add.reduce(rows.reshape(-1, BLOCK, rows.shape[1]), axis=1), 2 * BLOCK
+        half, size = np.empty((-(-n // BLOCK), self.table.shape[1]), np.float32), 2 * BLOCK
+        for a in range(0, n, AT_ONCE):
+            rows = self.table.take(places[a : a + AT_ONCE], axis=0)
+            if len(rows) % BLOCK:
+                rows = np.concatenate([rows, np.zeros((-len(rows) % BLOCK, rows.shape[1]), np.float32)])
+            half[a // BLOCK : a // BLOCK + len(rows) // BLOCK] = np.add.reduce(rows.reshape(-1, BLOCK, rows.shape[1]), axis=1)
         for k, window in enumerate(self.windows):
             while size < window:  # from sums over half a window to sums over twice as much
-                half, size = np.add.reduceat(half, range(0, len(half), 2), axis=0), 2 * size
+                half, last, size = half[:-1:2] + half[1::2], half[len(half) & ~1 :], 2 * size
+                half = np.concatenate([half, last]) if len(last) else half
             if k not in self.sought:
                 continue
             which, sought = self.sought[k]

@@ -167,3 +167,35 @@ def test_the_basis_is_fitted_on_every_passage_of_every_document(spark, monkeypat
     got = op.latent_basis(docs, benchmark, idf, len(texts))
     assert got.shape == (op.VOCABULARY, op.RANK) and not np.delete(got, used, axis=0).any()
     assert np.allclose(np.abs(np.linalg.svd(want.T @ got[used])[1]), 1, atol=1e-2)
+
+
+def test_sums_over_runs_take_little_more_than_their_entries():
+    import numpy as np
+
+    class Counted(np.ndarray):
+        taken = 0
+
+        def take(self, at, axis=None):
+            Counted.taken += at.size
+            return np.asarray(self).take(at, axis=axis)
+
+    rng = np.random.default_rng(14)
+    n = np.concatenate([rng.integers(0, 60, 300), np.ones(500, int), [0, 48, 49, 5000]])
+    first, entries = np.cumsum(n) - n, int(n.sum())
+    which, shares, rows = rng.integers(0, 900, entries), rng.random(entries).astype(np.float32), rng.standard_normal((900, 8)).astype(np.float32)
+    want = np.zeros((len(n), 8))
+    np.add.at(want, np.repeat(np.arange(len(n)), n), rows[which] * shares[:, None])
+    assert np.allclose(op._weighed(first, n, which, shares, rows.view(Counted)), want, atol=1e-2)
+    assert entries <= Counted.taken <= 1.5 * entries
+
+
+def test_a_word_counts_once_for_a_text_that_comes_in_parts(spark):
+    rng = random.Random(15)
+    texts = [" ".join(corpus(rng, 3000)), None, "", "one one two", "x"] + corpus(rng, 20)  # the first is longer than a group
+    counts = op.document_frequencies(spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1))
+    assert len(texts[0]) > 2 * op.GROUP_BYTES and counts[-1] == len(texts)
+    want = {}
+    for text in texts:
+        for place in {p for _, group in op.in_groups([text]) for p in op.Words(group).places.tolist()}:
+            want[place] = want.get(place, 0) + 1
+    assert {p: c for p, c in enumerate(counts[:-1].tolist()) if c} == want
