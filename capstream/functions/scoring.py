@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from capstream.functions.text import meaningful_length
+from capstream.functions.text import meaningful_length, once
 
 
 def weight(text: Column) -> Column:
@@ -34,7 +34,7 @@ def quality(text: Column, confidence: Column, n_lines: Column) -> Column:
 
 def _with_length(text: Column, of: Callable[[Column], Column]) -> Column:
     """`of` the meaningful length, which is measured once however often it is used."""
-    return F.transform(F.array(meaningful_length(text)), of)[0]
+    return once(meaningful_length(text), of)
 
 
 def candidate_rank(text: Column, confidence: Column, q: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capstream.functions import scoring, similarity
-from capstream.functions.text import OVERLAP_WINDOW, comparison_key, ends_sentence, first_occurrences, head, is_readable, join_lines, meaningful_length, overlap_of, spaced, tail, trimmed
+from capstream.functions.text import OVERLAP_WINDOW, comparison_key, ends_sentence, first_occurrences, head, is_readable, join_lines, meaningful_length, once, overlap_of, spaced, tail, trimmed
 
 INTERVAL = 3.0
 CREDIBLE_CONFIDENCE, CREDIBLE_QUALITY = 0.55, 0.16
@@ -45,38 +45,55 @@ def segments(grouped: DataFrame, key: str = "output_key", interval: float = INTE
     The text is that of the best sample: of the credible ones the longest, best supported, best; else by rank;
     the earliest of equals. An island is gathered once, in the partitioning that found it. Only where equally
     long candidates differ is their support asked for, once for all of them.
+
+    What looks at all samples is bound by `once`, so that the work grows with the samples of an island; segments
+    come out of a generator, through which no later filter repeats their expressions, nor the ratios in Python.
     """
     rank = scoring.sample_rank(F.col("text"), F.col("confidence"), F.col("quality"))
     sample = F.struct("time", "text", "confidence", "quality", F.col("_key").alias("key"), meaningful_length(F.col("text")).alias("length"), rank["support"].alias("rank"))
-    rows = grouped.groupBy(key, "island").agg(F.avg("confidence").alias("confidence"), F.array_sort(F.collect_list(sample)).alias("_all"))
-    best = F.array_max(F.transform("_all", lambda x: x["quality"]))
-    credible = F.filter("_all", lambda x: (x["confidence"] >= CREDIBLE_CONFIDENCE) & (x["quality"] >= F.col("_best") - CREDIBLE_QUALITY))
-    rows = rows.withColumn("_best", best).withColumn("_credible", credible)
-    rows = rows.withColumn("_longest", F.array_max(F.transform("_credible", lambda x: x["length"])))
-    rows = rows.withColumn("_open", F.filter("_credible", lambda x: x["length"] == F.col("_longest")))
-    backing = F.lit(0.0)
+    rows = grouped.groupBy(key, "island").agg(F.avg("confidence").alias("confidence"), F.sort_array(F.collect_list(sample)).alias("_all"))
     if support:
-        rows = rows.withColumn("_keys", F.array_distinct(F.transform("_open", lambda x: x["key"])))
-        asked = F.size("_keys") > 1
+        found = once(_open(F.col("_all")), lambda x: F.struct(x.alias("open"), F.array_distinct(F.transform(x, lambda y: y["key"])).alias("keys")))
+        rows = rows.select(key, "island", "confidence", "_all", F.explode(F.array(F.when(F.size("_all") > 1, found))).alias("_o"))
+        asked = F.size("_o.keys") > 1
         members = F.when(asked, F.transform("_all", lambda x: x["key"]))
-        rows = rows.withColumn("_support", similarity.mean_ratios(F.when(asked, F.col("_keys")), members))
+        rows = rows.withColumn("_support", similarity.mean_ratios(F.when(asked, F.col("_o.keys")), members))
+    open_ = F.col("_o.open") if support else _open(F.col("_all"))
+
+    def backing(x: Column) -> Column:
+        return F.coalesce(F.try_element_at("_support", F.array_position("_o.keys", x["key"]).cast("int")), F.lit(0.0)) if support else F.lit(0.0)
+
+    def chosen(candidates: Column) -> Column:
+        by_support = F.array_max(F.transform(candidates, lambda x: F.struct(backing(x).alias("a"), x["quality"].alias("b"), (-x["time"]).alias("c"), x["text"].alias("text"))))
+        by_rank = F.array_max(F.transform("_all", lambda x: F.struct(x["rank"].alias("a"), x["length"].alias("b"), x["confidence"].alias("c"), (-x["time"]).alias("d"), x["text"].alias("text"))))
+        return F.when(F.size(candidates) > 0, by_support["text"]).otherwise(by_rank["text"])
 
-        def backing_of(x: Column) -> Column:
-            return F.coalesce(F.try_element_at("_support", F.array_position("_keys", x["key"]).cast("int")), F.lit(0.0))
+    def said(text: Column, alternatives: Column) -> Column:
+        return F.struct(trimmed(text).alias("text"), alternatives.alias("alternatives"))
 
-    place = lambda x: -x["time"]
-    by_support = F.array_max(F.transform("_open", lambda x: F.struct((backing_of(x) if support else backing).alias("a"), x["quality"].alias("b"), place(x).alias("c"), x["text"].alias("text"))))
-    by_rank = F.array_max(F.transform("_all", lambda x: F.struct(x["rank"].alias("a"), x["length"].alias("b"), x["confidence"].alias("c"), place(x).alias("d"), x["text"].alias("text"))))
-    rows = rows.withColumn("_text", F.when(F.size("_open") > 0, by_support["text"]).otherwise(by_rank["text"]))
-    others = F.array_except(first_occurrences(F.transform("_all", lambda x: x["text"])), F.array("_text"))
+    several = once(once(open_, chosen), lambda x: said(x, F.array_except(first_occurrences(F.transform("_all", lambda y: y["text"])), F.array(x))))
+    single = said(F.col("_all")[0]["text"], F.array().cast("array<string>"))
+    rows = rows.select(key, "island", "confidence", "_all", F.explode(F.array(F.when(F.size("_all") > 1, several).otherwise(single))).alias("_said"))
     return rows.select(
         key, "island", F.col("_all")[0]["time"].alias("start"), (F.try_element_at("_all", F.lit(-1))["time"] + interval).alias("end"),
-        trimmed(F.col("_text")).alias("text"), "confidence", F.transform("_all", lambda x: x["time"]).alias("sample_times"),
+        "_said.text", "confidence", F.transform("_all", lambda x: x["time"]).alias("sample_times"),
         F.when(F.size("_all") > 1, "temporal_consensus").otherwise("direct_ocr").alias("reconstruction"),
-        F.lit("hard_subtitle_ocr").alias("source"), others.alias("alternatives"),
+        F.lit("hard_subtitle_ocr").alias("source"), "_said.alternatives",
     )
 
 
+def _open(every: Column) -> Column:
+    """The longest of the credible samples."""
+
+    def longest(credible: Column) -> Column:
+        return once(F.array_max(F.transform(credible, lambda x: x["length"])), lambda n: F.filter(credible, lambda x: x["length"] == n))
+
+    def credible(best: Column) -> Column:
+        return F.filter(every, lambda x: (x["confidence"] >= CREDIBLE_CONFIDENCE) & (x["quality"] >= best - CREDIBLE_QUALITY))
+
+    return once(once(F.array_max(F.transform(every, lambda x: x["quality"])), credible), longest)
+
+
 def without_fragments(found: DataFrame) -> DataFrame:
     return found.where(~scoring.is_fragment(F.col("text"), F.col("confidence")))
 
@@ -101,18 +118,24 @@ def _runs(found: DataFrame, by: list[str], interval: float) -> DataFrame:
     may = near & ((F.length("_left") < OVERLAP_WINDOW) | (overlap_of(F.col("_left"), F.col("_head")) >= 2))
     cut = F.when(F.coalesce(may, F.lit(False)), 0).otherwise(1)
     rows = rows.withColumn("_run", F.sum(cut).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy(*by, "_run").agg(F.array_sort(F.collect_list("_s")).alias("_all"))
+    return rows.groupBy(*by, "_run").agg(F.sort_array(F.collect_list("_s")).alias("_all"))
 
 
 def _folded(every: Column, interval: float) -> Column:
     """The segments of a run joined from the left, where the right one starts as what is merged so far ends."""
 
     def add(done: Column, x: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        left, right = spaced(last["text"]), spaced(x["text"])
-        n = overlap_of(F.right(left, F.lit(OVERLAP_WINDOW)), F.left(right, F.lit(OVERLAP_WINDOW)))
-        merged = F.concat(left, F.substr(right, (n + 1).cast("int")))
-        fits = (x["start"] - last["end"] <= interval * 0.5) & ~ends_sentence(last["text"]) & (n >= 2) & (merged != left) & (merged != right)
+        return once(F.struct(F.try_element_at(done, F.lit(-1)).alias("last"), x.alias("x")), lambda both: matched(done, both["last"], both["x"]))
+
+    def matched(done: Column, last: Column, x: Column) -> Column:
+        near = (x["start"] - last["end"] <= interval * 0.5) & ~ends_sentence(last["text"])
+        texts = F.struct(spaced(last["text"]).alias("left"), spaced(x["text"]).alias("right"))
+        ends = lambda t: F.struct(F.right(t["left"], F.lit(OVERLAP_WINDOW)).alias("end"), F.left(t["right"], F.lit(OVERLAP_WINDOW)).alias("start"))
+        merge = lambda t, n: F.when((n >= 2) & (n < F.length(t["right"])), F.concat(t["left"], F.substr(t["right"], (n + 1).cast("int"))))
+        merged = once(texts, lambda t: once(once(ends(t), lambda e: overlap_of(e["end"], e["start"])), lambda n: once(merge(t, n), lambda m: F.when(m != t["right"], m))))
+        return once(F.when(near, merged), lambda m: F.when(m.isNull(), F.concat(done, F.array(x))).otherwise(joint(done, last, x, m)))
+
+    def joint(done: Column, last: Column, x: Column, merged: Column) -> Column:
         a, b = F.size(last["sample_times"]), F.size(x["sample_times"])
         joined = F.struct(
             last["start"].alias("start"), x["end"].alias("end"), merged.alias("text"),
@@ -121,8 +144,7 @@ def _folded(every: Column, interval: float) -> Column:
             F.lit("overlap_join").alias("reconstruction"), F.lit("hard_subtitle_ocr").alias("source"),
             first_occurrences(F.concat(last["alternatives"], F.array(last["text"]), x["alternatives"], F.array(x["text"]))).alias("alternatives"),
         )
-        joint = F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined.cast(SEGMENT)))
-        return F.when(F.coalesce(fits, F.lit(False)), joint).otherwise(F.concat(done, F.array(x)))
+        return F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(joined.cast(SEGMENT)))
 
     rest = F.slice(every, F.lit(2), F.greatest(F.size(every) - 1, F.lit(0)))
     return F.when(F.size(every) == 1, every).otherwise(F.aggregate(rest, F.slice(every, 1, 1), add))

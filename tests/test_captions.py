@@ -176,3 +176,23 @@ def test_frames_worth_keeping(spark):
         assert got[t] == keep
         before = own, blank
     assert not any(r.keep for r in captions.frames_to_keep(samples(spark, rows), mode="none").collect())
+
+
+def planned(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_what_islands_and_joins_look_at_is_worked_out_once(spark):
+    """No later filter repeats the choice of the text or the ratios in Python, and no lambda the measures of a whole island."""
+    df = samples(spark, [(0, "lamp", 0.9, 0.8), (3, "lamp road", 0.9, 0.8)])
+    assert planned(captions.assemble(df)).count("mean_ratios(") == 1
+    kept = planned(captions.without_fragments(captions.segments(captions.islands(df, fuzzy=False), support=False)))
+    assert kept.count("0.16") == 1 and ">= (array_max" not in kept and "= array_max" not in kept
+    assert planned(captions.join_overlaps(captions.without_fragments(captions.segments(captions.islands(df))))).count("regexp_replace") < 20
+
+
+def test_a_long_island_against_the_model(spark):
+    """Cubic before: each sample looked at all samples for each sample."""
+    rows = [(3.0 * k, "lamp road" + " river" * (k % 7), 0.6 + k % 4 / 10, 0.5 + k % 5 / 10) for k in range(400)]
+    want, _ = model.assembled(rows)
+    assert [x[2] for x in made(spark, rows)] == [s["text"] for s in want]
