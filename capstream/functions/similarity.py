@@ -7,16 +7,34 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType
 
 #: Pairs count as the same caption from these ratios on; short texts need the higher one.
 LONG_RATIO, SHORT_RATIO, LONG_KEY = 0.88, 0.92, 8
 
 
-@F.pandas_udf(DoubleType())
-def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Twice the matching characters over all characters, in the order (previous, current); null where either is."""
-    return pd.Series([None if a is None or b is None else SequenceMatcher(None, a, b).ratio() for a, b in zip(left, right, strict=True)], dtype="float64")
+def common_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence, all of `a` at once as bits of one number."""
+    places: dict[str, int] = {}
+    for i, c in enumerate(a):
+        places[c] = places.get(c, 0) | 1 << i
+    whole = (1 << len(a)) - 1
+    free = whole
+    for c in b:
+        hit = free & places.get(c, 0)
+        free = (free + hit | free - hit) & whole
+    return len(a) - free.bit_count()
+
+
+def reaches(a: str, b: str, needed: float) -> bool:
+    """SequenceMatcher(None, a, b).ratio() >= needed. Its blocks are a common subsequence: only where the longest is long enough is it asked."""
+    return 2.0 * common_length(a, b) / (len(a) + len(b)) >= needed and SequenceMatcher(None, a, b).ratio() >= needed
+
+
+@F.pandas_udf(BooleanType())
+def alike(left: pd.Series, right: pd.Series, needed: pd.Series) -> pd.Series:
+    """Whether the ratio in the order (previous, current) is high enough; null where either is."""
+    return pd.Series([None if a is None or b is None else reaches(a, b, n) for a, b, n in zip(left, right, needed, strict=True)], dtype="object")
 
 
 @F.pandas_udf(ArrayType(DoubleType()))
@@ -44,5 +62,5 @@ def same_caption(previous: Column, current: Column) -> Column:
     shorter, longer = F.least(F.length(previous), F.length(current)), F.greatest(F.length(previous), F.length(current))
     needed = F.when(shorter >= LONG_KEY, LONG_RATIO).otherwise(SHORT_RATIO)
     open_ = (shorter > 0) & ~same_key(previous, current) & (2 * shorter / (shorter + longer) >= needed)
-    found = ratio(F.when(open_, previous), F.when(open_, current))
-    return F.coalesce(same_key(previous, current), F.lit(False)) | F.coalesce(found >= needed, F.lit(False))
+    found = alike(F.when(open_, previous), F.when(open_, current), needed)
+    return F.coalesce(same_key(previous, current), F.lit(False)) | F.coalesce(found, F.lit(False))

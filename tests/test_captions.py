@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from difflib import SequenceMatcher
 
 import pytest
 from capstream.functions import scoring, similarity, text
@@ -196,3 +197,24 @@ def test_a_long_island_against_the_model(spark):
     rows = [(3.0 * k, "lamp road" + " river" * (k % 7), 0.6 + k % 4 / 10, 0.5 + k % 5 / 10) for k in range(400)]
     want, _ = model.assembled(rows)
     assert [x[2] for x in made(spark, rows)] == [s["text"] for s in want]
+
+
+def test_only_texts_with_enough_in_common_are_compared_by_ratio(monkeypatch):
+    rng = random.Random(8)
+    asked = []
+
+    class Counted(SequenceMatcher):
+        def ratio(self):
+            asked.append(1)
+            return super().ratio()
+
+    monkeypatch.setattr(similarity, "SequenceMatcher", Counted)
+    assert (similarity.common_length("kitten", "sitting"), similarity.common_length("", "a"), similarity.common_length("aß光", "ß光a")) == (4, 0, 2)
+    alike = 0
+    for _ in range(600):
+        a = "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 300)))
+        b = "".join(c if rng.random() > 0.1 * rng.random() else rng.choice("xyz") for c in a) if rng.random() < 0.5 else "".join(rng.choice("abcdefgh") for _ in a)
+        want = SequenceMatcher(None, a, b).ratio() >= 0.88
+        assert similarity.reaches(a, b, 0.88) == want
+        alike += want
+    assert 100 < alike <= len(asked) < 400
