@@ -218,3 +218,11 @@ def test_only_texts_with_enough_in_common_are_compared_by_ratio(monkeypatch):
         assert similarity.reaches(a, b, 0.88) == want
         alike += want
     assert 100 < alike <= len(asked) < 400
+
+
+def test_a_text_is_measured_once_for_its_scores(spark):
+    from capstream.plans import catalogue
+
+    docs = spark.createDataFrame([(1, "lamp"), (2, None), (3, "")], "doc_id long, text string")
+    assert planned(catalogue._scored(docs)).count("regexp_replace") == 1
+    assert [r.enhance for r in catalogue._scored(docs).orderBy("doc_id").collect()][0] is True
