@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from capstream.functions import scoring
-from capstream.functions.text import compact, join_lines, trimmed
+from capstream.functions.text import compact, join_lines, once, trimmed
 
 # Relative regions of the picture (top, bottom, left, right).
 CROP = (0.50, 0.94, 0.04, 0.96)
@@ -42,11 +42,13 @@ def reading_rows(lines: Column) -> Column:
 
     From the highest centre down, a line joins the last row if its centre is near the row's mean centre.
     """
-    placed = F.array_sort(F.transform(lines, lambda x: F.struct(center_y(x["box"]).alias("y"), left(x["box"]).alias("x"), height(x["box"]).alias("h"), x.alias("line"))))
+    placed = F.sort_array(F.transform(lines, lambda x: F.struct(center_y(x["box"]).alias("y"), left(x["box"]).alias("x"), height(x["box"]).alias("h"), x.alias("line"))))
     kind = f"struct<y:double,x:double,h:double,line:{LINE}>"
 
     def add(rows: Column, item: Column) -> Column:
-        last = F.try_element_at(rows, F.lit(-1))
+        return once(F.try_element_at(rows, F.lit(-1)), lambda last: placed_in(rows, item, last))
+
+    def placed_in(rows: Column, item: Column, last: Column) -> Column:
         mean = F.aggregate(last, F.lit(0.0), lambda a, r: a + r["y"]) / F.size(last)
         tallest = F.array_max(F.transform(last, lambda r: r["h"]))
         near = F.abs(item["y"] - mean) <= F.greatest(tallest, item["h"]) * ROW_TOLERANCE
@@ -54,31 +56,41 @@ def reading_rows(lines: Column) -> Column:
         return F.when(F.size(rows) == 0, F.array(F.array(item))).when(near, joined).otherwise(F.concat(rows, F.array(F.array(item))))
 
     rows = F.aggregate(placed.cast(f"array<{kind}>"), F.array().cast(f"array<array<{kind}>>"), add)
-    by_left = lambda row: F.transform(F.array_sort(F.transform(row, lambda r: F.struct(r["x"].alias("x"), r["y"].alias("y"), r["line"].alias("line")))), lambda r: r["line"])
+    by_left = lambda row: F.transform(F.sort_array(F.transform(row, lambda r: F.struct(r["x"].alias("x"), r["y"].alias("y"), r["line"].alias("line")))), lambda r: r["line"])
     return F.transform(rows, by_left)
 
 
 def row_role(row: Column, width: Column, tall: Column, crop: tuple[float, float, float, float] = CROP) -> Column:
     """speaker_hint for a short row wholly within a label region, dialogue else, unknown without a picture."""
     top, bottom, start, stop = crop
-    points = F.flatten(F.transform(row, lambda x: x["box"]))
-    xs, ys = _at(points, 0), _at(points, 1)
     x = lambda v: F.lit(start) + v / width * (stop - start)
     y = lambda v: F.lit(top) + v / tall * (bottom - top)
-    inside = F.lit(False)
-    for t, b, lo, hi in SPEAKER_REGIONS.values():
-        inside = inside | (
-            (x(F.array_min(xs)) >= lo - MARGIN) & (x(F.array_max(xs)) <= hi + MARGIN) & (y(F.array_min(ys)) >= t - MARGIN) & (y(F.array_max(ys)) <= b + MARGIN)
-        )
+
+    def extent(points: Column) -> Column:
+        """left, right, top, bottom of the row in the whole picture."""
+        xs, ys = _at(points, 0), _at(points, 1)
+        return F.struct(x(F.array_min(xs)).alias("l"), x(F.array_max(xs)).alias("r"), y(F.array_min(ys)).alias("t"), y(F.array_max(ys)).alias("b"))
+
+    def inside(e: Column) -> Column:
+        found = F.lit(False)
+        for t, b, lo, hi in SPEAKER_REGIONS.values():
+            found = found | ((e["l"] >= lo - MARGIN) & (e["r"] <= hi + MARGIN) & (e["t"] >= t - MARGIN) & (e["b"] <= b + MARGIN))
+        return found
+
     short = F.length(compact(join_lines(F.transform(row, lambda r: r["text"])))) <= LABEL_CHARS
-    return F.when((width <= 0) | (tall <= 0) | (F.size(row) == 0), "unknown").when(short & inside, "speaker_hint").otherwise("dialogue")
+    label = once(once(F.flatten(F.transform(row, lambda r: r["box"])), extent), inside)
+    return F.when((width <= 0) | (tall <= 0) | (F.size(row) == 0), "unknown").when(short & label, "speaker_hint").otherwise("dialogue")
 
 
 def candidate(frames: DataFrame, lines: str = "lines", width: str = "width", tall: str = "height", crop=CROP) -> DataFrame:
     """frames with the ordered lines and their role, and text, confidence and quality of what is not a label."""
     parsed = F.filter(F.col(lines), lambda x: (trimmed(x["text"]) != "") & (F.size(x["box"]) > 0) & x["confidence"].isNotNull())
     rows = reading_rows(F.transform(parsed, lambda x: F.struct(trimmed(x["text"]).alias("text"), x["confidence"].alias("confidence"), x["box"].alias("box"))))
-    with_role = lambda row: F.transform(row, lambda x: F.struct(x["text"].alias("text"), x["confidence"].alias("confidence"), x["box"].alias("box"), row_role(row, F.col(width), F.col(tall), crop).alias("role")))
+
+    def with_role(row: Column) -> Column:
+        line = lambda x, role: F.struct(x["text"].alias("text"), x["confidence"].alias("confidence"), x["box"].alias("box"), role.alias("role"))
+        return once(row_role(row, F.col(width), F.col(tall), crop), lambda role: F.transform(row, lambda x: line(x, role)))
+
     out = frames.withColumn("_ordered", F.flatten(F.transform(rows, with_role)))
     out = out.withColumn("_spoken", F.filter("_ordered", lambda x: x["role"] != "speaker_hint"))
     out = out.withColumn("text", join_lines(F.transform("_spoken", lambda x: x["text"]))).withColumn("confidence", scoring.weighted_confidence(F.col("_spoken")))

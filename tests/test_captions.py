@@ -226,3 +226,13 @@ def test_a_text_is_measured_once_for_its_scores(spark):
     docs = spark.createDataFrame([(1, "lamp"), (2, None), (3, "")], "doc_id long, text string")
     assert planned(catalogue._scored(docs)).count("regexp_replace") == 1
     assert [r.enhance for r in catalogue._scored(docs).orderBy("doc_id").collect()][0] is True
+
+
+def test_a_row_is_measured_once_for_its_role(spark):
+    from capstream.operators import geometry
+
+    kind = "l array<struct<text:string,confidence:double,box:array<array<double>>>>"
+    df = spark.createDataFrame([([("MARA", 0.9, [[15.0, 15.0], [35.0, 15.0], [35.0, 35.0], [15.0, 35.0]])],), ([],)], kind)
+    roles = df.select(geometry.row_role(F.col("l"), F.lit(100.0), F.lit(100.0)).alias("r"))
+    assert planned(roles).count("flatten(") == 1
+    assert [r.r for r in roles.collect()] == ["speaker_hint", "unknown"]
